@@ -33,6 +33,8 @@ REFERENCES = {
     "&ldquo;": "“",
     "&rdquo;": "”",
     "&hellip;": "…",
+    "&middot;": "·",
+    "&copy;": "©",
     "&amp;": "&",  # last, so that text like &amp;lt; is decoded once
 }
 

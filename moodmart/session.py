@@ -1,6 +1,7 @@
 """Session settings the plans rely on, and the shared folder used to cut lineage."""
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +51,15 @@ def settle(frame: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def stage(frame: DataFrame) -> DataFrame:
+    """Write a frame as a Parquet table of its own below the checkpoint folder, and read it back.
+
+    For a large result with several readers, each of which wants few of its columns. The folder's retention rules
+    remove it, like any checkpoint.
+    """
+    spark = frame.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/staged-{uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
