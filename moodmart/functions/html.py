@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodmart import fixed_values as V
+from moodmart.functions.text import once
 
 REFERENCES = {
     "&lt;": "<",
@@ -23,7 +24,7 @@ REFERENCES = {
     "&#39;": "'",
     "&#x27;": "'",
     "&apos;": "'",
-    "&nbsp;": " ",
+    "&nbsp;": "\xa0",
     "&pound;": "£",
     "&euro;": "€",
     "&ndash;": "–",
@@ -101,7 +102,7 @@ def plain_texts(parts: Column) -> Column:
 
 
 def plain_text(markup: Column) -> Column:
-    return F.get(plain_texts(F.array(markup)), F.lit(0))
+    return once(_strip_tags(markup), _decode)
 
 
 def _cut(markup: Column, tag: str) -> Column:
@@ -136,7 +137,9 @@ def with_page_fields(pages: DataFrame, html: str = "html", selectors: PageSelect
     "No ... found"; a timestamp without its inner text counts as no date.
 
     The work is a chain of narrow projections. Each step's column is used by several later expressions, so Catalyst
-    keeps the steps apart and every page is split only once per step.
+    keeps the steps apart and every page is split only once per step. The fields leave through a generator of one row,
+    because a filter on a column made by a generator stays above it. Pushed below, the filter would bring a copy of
+    the whole extraction with it.
     """
     s = selectors
     kept = [F.col(name) for name in pages.columns]
@@ -196,8 +199,7 @@ def with_page_fields(pages: DataFrame, html: str = "html", selectors: PageSelect
     if s.title_tag:
         title = F.slice(title, F.lit(1), _pieces_until_closed(title, s.title_tag))
     title_text = plain_text(F.array_join(title, ""))
-    return step.select(
-        *kept,
+    fields = F.struct(
         F.when(F.size("_stamps") > 0, plain_text(F.get("_stamps", F.lit(0))))
         .otherwise(V.NO_DATE)
         .alias("publishedDate"),
@@ -206,3 +208,4 @@ def with_page_fields(pages: DataFrame, html: str = "html", selectors: PageSelect
         .otherwise(V.NO_CONTENT)
         .alias("content"),
     )
+    return step.select(*kept, F.inline(F.array(fields)))

@@ -1,5 +1,7 @@
 """Hashes, keys, names and trimming."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ SPACES = (
 SPACE = r"[\s\x1c-\x1f]"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, for expressions that mention a costly value several times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def trim_spaces(text: Column) -> Column:
     """Remove leading and trailing Unicode spaces (plain ``trim`` removes blanks only)."""
     return F.btrim(text, F.lit(SPACES))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from moodmart.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, SALTS, fits_broadcast, salted_join
 from moodmart.schemas import same_columns
+from moodmart.session import settle
 
 _RANK = "_rank"
 
@@ -41,10 +42,11 @@ def unmatched(
 ) -> DataFrame:
     """Rows of ``history`` whose key is not in ``batch``; a null key matches nothing, so those rows stay.
 
-    A batch's keys are usually few: then they are broadcast and history is only streamed through. If they are not,
-    both sides are shuffled by key and salt, which also spreads null keys and keys with very many copies.
+    The batch's keys are stored once, then measured. Usually they are few: they are broadcast and history is only
+    streamed through. If they are not, both sides are shuffled by key and salt, which also spreads null keys and keys
+    with very many copies.
     """
-    keys = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    keys = settle(batch.select(key).where(F.col(key).isNotNull()).distinct())
     if fits_broadcast(keys, max_rows, max_bytes):
         return history.join(F.broadcast(keys), key, "left_anti")
     return salted_join(history, keys, key, "left_anti", salts)

@@ -11,6 +11,7 @@ from moodmart.functions.text import article_key, text_hash
 from moodmart.operators.filters import drop_failed_pages, drop_live_coverage, legacy_keep_http_500
 from moodmart.operators.merge import dedup_latest, upsert
 from moodmart.schemas import ARTICLES
+from moodmart.session import stage
 
 
 @dataclass(frozen=True)
@@ -48,8 +49,12 @@ def latest_articles(extracted: DataFrame) -> DataFrame:
 
 
 def articles_from_pages(pages: DataFrame, **options) -> Articles:
-    """All articles on a set of landed pages. ``options`` are those of :func:`extract_articles`."""
-    extracted = extract_articles(pages, **options)
+    """All articles on a set of landed pages. ``options`` are those of :func:`extract_articles`.
+
+    Extraction is the costly part and its result has several readers, so it is written once, without the markup.
+    """
+    kept = ("_hashedId", "_extractedDate", "page", *ARTICLES.fieldNames())
+    extracted = stage(extract_articles(pages, **options).select(*kept))
     has_key = F.col("id").isNotNull()
     rejected = extracted.where(~has_key).select("_hashedId", *ARTICLES.fieldNames())
     return Articles(latest_articles(extracted.where(has_key)), rejected)
