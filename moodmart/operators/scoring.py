@@ -26,23 +26,37 @@ def _bucket(word: Column) -> Column:
     return F.pmod(F.hash(word), F.lit(_BUCKETS))
 
 
+def _unique(lexicon: DataFrame) -> DataFrame:
+    """Weights per word. A word listed twice is an error, raised while the lexicon is used."""
+    once = F.count(F.lit(1)) == 1
+    repeated = F.raise_error(F.concat(F.lit("listed twice in the lexicon: "), F.col("word")))
+    return (
+        lexicon.where(F.length("word") > 0)
+        .groupBy("word")
+        .agg(
+            F.when(once, F.max("polarity_h")).otherwise(repeated).cast("long").alias("p"),
+            F.when(once, F.max("subjectivity_h")).otherwise(repeated).cast("long").alias("s"),
+        )
+    )
+
+
 def lookup_table(lexicon: DataFrame) -> DataFrame:
     """One row with the lexicon as an array of small maps, word to weights; the word's hash says which one it is in.
 
-    A single map would be searched from its start for every word. A word listed twice is an error.
+    A single map would be searched from its start for every word.
     """
-    weights = F.struct(F.col("polarity_h").cast("long").alias("p"), F.col("subjectivity_h").cast("long").alias("s"))
+    # bounded by LOOKUP_ROWS; in one partition the three groupings need no shuffle
     buckets = (
-        lexicon.where(F.length("word") > 0)
-        .coalesce(1)  # bounded by LOOKUP_ROWS, and spares two shuffles of a small table
+        _unique(lexicon.coalesce(1))
         .groupBy(_bucket(F.col("word")).alias("bucket"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("word", weights))).alias("weights"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("word", F.struct("p", "s")))).alias("weights"))
     )
     by_bucket = F.map_from_entries(F.collect_list(F.struct("bucket", "weights")))
-    return (
-        buckets.agg(by_bucket.alias("by_bucket"))
-        .select(F.transform(F.sequence(F.lit(0), F.lit(_BUCKETS - 1)), lambda b: F.try_element_at("by_bucket", b)))
+    # buckets without words are null
+    in_order = F.transform(
+        F.sequence(F.lit(0), F.lit(_BUCKETS - 1)), lambda bucket: F.try_element_at("by_bucket", bucket)
     )
+    return buckets.agg(by_bucket.alias("by_bucket")).select(in_order)
 
 
 def _score(total: Column, hits: Column) -> Column:
@@ -83,11 +97,11 @@ def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, salts: int) -
         .agg(F.count(F.lit(1)).alias("n"))
     )
     sums = (
-        salted_join(counts, lexicon.select("word", "polarity_h", "subjectivity_h"), "word", "inner", salts)
+        salted_join(counts, _unique(lexicon), "word", "inner", salts)
         .groupBy("_text")
         .agg(
-            F.sum(F.col("polarity_h") * F.col("n")).alias("_p"),
-            F.sum(F.col("subjectivity_h") * F.col("n")).alias("_s"),
+            F.sum(F.col("p") * F.col("n")).alias("_p"),
+            F.sum(F.col("s") * F.col("n")).alias("_s"),
             F.sum("n").alias("_n"),
         )
     )

@@ -10,7 +10,7 @@ from moodmart.functions.html import PageSelectors, with_page_fields
 from moodmart.functions.text import article_key, text_hash
 from moodmart.operators.filters import drop_failed_pages, drop_live_coverage, legacy_keep_http_500
 from moodmart.operators.merge import dedup_latest, upsert
-from moodmart.schemas import ARTICLES
+from moodmart.schemas import ARTICLES, REJECTED
 from moodmart.session import stage
 
 
@@ -56,7 +56,7 @@ def articles_from_pages(pages: DataFrame, **options) -> Articles:
     kept = ("_hashedId", "_extractedDate", "page", *ARTICLES.fieldNames())
     extracted = stage(extract_articles(pages, **options).select(*kept))
     has_key = F.col("id").isNotNull()
-    rejected = extracted.where(~has_key).select("_hashedId", *ARTICLES.fieldNames())
+    rejected = extracted.where(~has_key).select(*REJECTED.fieldNames())
     return Articles(latest_articles(extracted.where(has_key)), rejected)
 
 

@@ -15,6 +15,7 @@ _TEXT, _LONG, _INT, _DATE, _REAL, _FLAG = (
 RAW_PAGES = _schema(teamName=_TEXT, page=_INT, html=_TEXT)
 PAGES = _schema(_hashedId=_TEXT, _extractedDate=T.TimestampNTZType(), teamName=_TEXT, page=_INT, html=_TEXT)
 ARTICLES = _schema(teamName=_TEXT, publishedDate=_DATE, title=_TEXT, content=_TEXT, id=_TEXT)
+REJECTED = _schema(_hashedId=_TEXT, _extractedDate=T.TimestampNTZType(), teamName=_TEXT, title=_TEXT, content=_TEXT)
 ARTICLE = _schema(article_id=_TEXT, fk_team_id=_LONG, article_title=_TEXT, published_at=_DATE)
 DIM_ARTICLE = T.StructType(ARTICLE.fields + [T.StructField("fk_title_id", _TEXT, True)])
 DIM_TEAM = _schema(team_id=_LONG, team_name=_TEXT)
@@ -41,3 +42,8 @@ LEXICON = _schema(word=_TEXT, polarity_h=_INT, subjectivity_h=_INT)
 def same_columns(left: DataFrame, right: DataFrame) -> bool:
     """Whether two frames have the same column names and types, whatever their order and nullability."""
     return {f.name: f.dataType for f in left.schema} == {f.name: f.dataType for f in right.schema}
+
+
+def with_column(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    """A schema with one more column, such as the one a table is partitioned by."""
+    return T.StructType([*schema.fields, T.StructField(name, kind, True)])
