@@ -18,6 +18,9 @@ class Size:
     rows: int
     bytes: int
 
+    def fits(self, max_rows: int, max_bytes: int) -> bool:
+        return self.rows <= max_rows and self.bytes <= max_bytes
+
 
 def measure(frame: DataFrame) -> Size:
     """Rows and approximate bytes of a frame, in one distributed aggregation that returns one row."""
@@ -31,8 +34,7 @@ def measure(frame: DataFrame) -> Size:
 
 
 def fits_broadcast(frame: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    size = measure(frame)
-    return size.rows <= max_rows and size.bytes <= max_bytes
+    return measure(frame).fits(max_rows, max_bytes)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: str, how: str, salts: int = SALTS) -> DataFrame:

@@ -52,6 +52,12 @@ def unmatched(
     return salted_join(history, keys, key, "left_anti", salts)
 
 
-def upsert(history: DataFrame, batch: DataFrame, key: str, **limits: int) -> DataFrame:
-    """The batch, and the history rows it does not replace. Duplicates within either side stay."""
-    return union_all(batch, unmatched(history.select(*batch.columns), batch, key, **limits))
+def upsert(
+    history: DataFrame, batch: DataFrame, key: str, batch_keys: DataFrame | None = None, **limits: int
+) -> DataFrame:
+    """The batch, and the history rows it does not replace. Duplicates within either side stay.
+
+    ``batch_keys`` is any frame with the batch's keys, for a batch whose keys are cheaper to get than its rows.
+    """
+    keys = batch if batch_keys is None else batch_keys
+    return union_all(batch, unmatched(history.select(*batch.columns), keys, key, **limits))

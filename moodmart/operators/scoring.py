@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from moodmart.functions.labels import polarity_class, subjectivity_class
 from moodmart import fixed_values as V
-from moodmart.operators.joins import SALTS, fits_broadcast, salted_join
+from moodmart.operators.joins import SALTS, measure, salted_join
 
 # Largest lexicon that is put into the tasks as a lookup table; larger ones are joined
 LOOKUP_ROWS = 100_000
 LOOKUP_BYTES = 8 * 1024 * 1024
-_BUCKETS = 4096
+_MOST_BUCKETS = 1 << 16
 
 
 def words(text: Column) -> Column:
@@ -22,8 +22,8 @@ def words(text: Column) -> Column:
     return F.split(F.lower(text), r"[^\p{L}]+")
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.hash(word), F.lit(_BUCKETS))
+def _bucket(word: Column, buckets: int) -> Column:
+    return F.pmod(F.hash(word), F.lit(buckets))
 
 
 def _unique(lexicon: DataFrame) -> DataFrame:
@@ -40,38 +40,39 @@ def _unique(lexicon: DataFrame) -> DataFrame:
     )
 
 
-def lookup_table(lexicon: DataFrame) -> DataFrame:
+def lookup_table(lexicon: DataFrame, buckets: int) -> DataFrame:
     """One row with the lexicon as an array of small maps, word to weights; the word's hash says which one it is in.
 
     A single map would be searched from its start for every word.
     """
     # bounded by LOOKUP_ROWS; in one partition the three groupings need no shuffle
-    buckets = (
+    filled = (
         _unique(lexicon.coalesce(1))
-        .groupBy(_bucket(F.col("word")).alias("bucket"))
+        .groupBy(_bucket(F.col("word"), buckets).alias("bucket"))
         .agg(F.map_from_entries(F.collect_list(F.struct("word", F.struct("p", "s")))).alias("weights"))
     )
     by_bucket = F.map_from_entries(F.collect_list(F.struct("bucket", "weights")))
     # buckets without words are null
     in_order = F.transform(
-        F.sequence(F.lit(0), F.lit(_BUCKETS - 1)), lambda bucket: F.try_element_at("by_bucket", bucket)
+        F.sequence(F.lit(0), F.lit(buckets - 1)), lambda bucket: F.try_element_at("by_bucket", bucket)
     )
-    return buckets.agg(by_bucket.alias("by_bucket")).select(in_order)
+    return filled.agg(by_bucket.alias("by_bucket")).select(in_order)
 
 
 def _score(total: Column, hits: Column) -> Column:
     return F.when(hits > 0, total / hits / 100).otherwise(F.lit(0.0))
 
 
-def _score_by_lookup(rows: DataFrame, text: str, lexicon: DataFrame) -> DataFrame:
+def _score_by_lookup(rows: DataFrame, text: str, lexicon: DataFrame, size: int) -> DataFrame:
     """Every row scores its own text: no shuffle, no join back, nothing moves but the lexicon."""
     kept = [F.col(name) for name in rows.columns]
+    buckets = min(1 << size.bit_length(), _MOST_BUCKETS)
 
     def weights(word: Column) -> Column:
-        return F.try_element_at(F.get(F.col("_lookup"), _bucket(word)), word)
+        return F.try_element_at(F.get(F.col("_lookup"), _bucket(word, buckets)), word)
 
     found = F.filter(F.transform(words(F.col(text)), weights), lambda weight: weight.isNotNull())
-    step = rows.select(*kept, lookup_table(lexicon).scalar().alias("_lookup")).select(*kept, found.alias("_found"))
+    step = rows.select(*kept, lookup_table(lexicon, buckets).scalar().alias("_lookup")).select(*kept, found.alias("_found"))
 
     def total(weight: str) -> Column:
         return F.aggregate("_found", F.lit(0).cast("long"), lambda so_far, hit: so_far + hit[weight])
@@ -122,8 +123,9 @@ def score_texts(
     salts: int = SALTS,
 ) -> DataFrame:
     """Add ``sentiment_score`` (-1 to 1) and ``subjectivity_score`` (0 to 1) of a text column."""
-    if fits_broadcast(lexicon, max_rows, max_bytes):
-        return _score_by_lookup(rows, text, lexicon)
+    size = measure(lexicon)
+    if size.fits(max_rows, max_bytes):
+        return _score_by_lookup(rows, text, lexicon, size.rows)
     return _score_by_join(rows, text, lexicon, salts)
 
 

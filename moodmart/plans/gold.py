@@ -59,7 +59,9 @@ def legacy_dim_date(articles: DataFrame) -> DataFrame:
 
 
 def dim_sentiment(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(V.SENTIMENTS), DIM_SENTIMENT)
+    """The three sentiments, as a relation the planner knows the size of."""
+    rows = ", ".join(f"('{label}', {key}L, {value}L)" for label, key, value in V.SENTIMENTS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS sentiments({', '.join(DIM_SENTIMENT.fieldNames())})")
 
 
 # --- reactions --------------------------------------------------------------------------------------------------------

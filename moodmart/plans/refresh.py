@@ -88,6 +88,16 @@ def _month(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
+def in_months_of(keys: DataFrame, stored: DataFrame) -> DataFrame:
+    """The stored articles of the months that occur in ``keys``.
+
+    The months are names of partitions, at most twelve per year of publication. They go into the plan as literals, so
+    other partitions are not even listed.
+    """
+    months = keys.select(_month(F.col("publishedDate")).alias("month")).distinct().collect()
+    return stored.where(F.col("published_month").isin([row["month"] for row in months]))
+
+
 def refresh_articles(
     spark: SparkSession, warehouse: Warehouse, pages: DataFrame | None = None, **options
 ) -> dict[str, int]:
@@ -101,10 +111,7 @@ def refresh_articles(
     found = silver.articles_from_pages(pages, **options)
     batch = found.accepted.withColumn("published_month", _month(F.col("publishedDate")))
     stored = read_table(spark, warehouse.articles, _STORED_ARTICLES)
-    # at most one row per calendar month, so small enough to broadcast; it prunes the stored partitions at run time
-    months = batch.select("published_month").distinct()
-    touched = stored.join(F.broadcast(months), "published_month", "left_semi")
-    merged = upsert(touched, batch, "id")
+    merged = upsert(in_months_of(found.keys, stored), batch, "id", batch_keys=found.keys)
     return {
         "articles": write_table(
             # splits large months over several files and gathers the small ones

@@ -16,10 +16,15 @@ from moodmart.session import stage
 
 @dataclass(frozen=True)
 class Articles:
-    """``accepted`` has one row per article; ``rejected`` are pages without a usable date, which have no key."""
+    """``accepted`` has one row per article; ``rejected`` are pages without a usable date, which have no key.
+
+    ``keys`` has ``id`` and ``publishedDate`` of the accepted articles, some more than once; unlike ``accepted`` it
+    needs no shuffle.
+    """
 
     accepted: DataFrame
     rejected: DataFrame
+    keys: DataFrame
 
 
 def extract_articles(
@@ -56,11 +61,15 @@ def articles_from_pages(pages: DataFrame, **options) -> Articles:
     kept = ("_hashedId", "_extractedDate", "page", *ARTICLES.fieldNames())
     extracted = stage(extract_articles(pages, **options).select(*kept))
     has_key = F.col("id").isNotNull()
-    rejected = extracted.where(~has_key).select(*REJECTED.fieldNames())
-    return Articles(latest_articles(extracted.where(has_key)), rejected)
+    keyed = extracted.where(has_key)
+    return Articles(
+        accepted=latest_articles(keyed),
+        rejected=extracted.where(~has_key).select(*REJECTED.fieldNames()),
+        keys=keyed.select("id", "publishedDate"),
+    )
 
 
-def build_articles(pages: DataFrame, history: DataFrame, **options) -> Articles:
+def build_articles(pages: DataFrame, history: DataFrame, **options) -> DataFrame:
     """The article table after a run: what the pages hold, and earlier articles that are not among it."""
     found = articles_from_pages(pages, **options)
-    return Articles(upsert(history.select(*ARTICLES.fieldNames()), found.accepted, "id"), found.rejected)
+    return upsert(history.select(*ARTICLES.fieldNames()), found.accepted, "id", batch_keys=found.keys)

@@ -186,7 +186,7 @@ def build_articles(spark: SparkSession, folder: str) -> DataFrame:
     )
     key = T.article_key(F.col("teamName"), F.col("publishedDate"), F.col("title"))
     history = merge.dedup_latest(earlier.withColumn("id", key), "id", [F.col("_page").desc()]).drop("_page")
-    return silver.build_articles(pages, history, selectors=I.DATED_PAGE).accepted
+    return silver.build_articles(pages, history, selectors=I.DATED_PAGE)
 
 
 @_registered
