@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moodmart.session import settle
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
+# A key with more rows than this is split over several tasks
+ROWS_PER_TASK = 500_000
+# Tasks that rows without a key are spread over; they match nothing, so this copies nothing
+_NULL_TASKS = 1000
 
-_SALT = "_salt"
+_SALT, _TASKS, _ROWS = "_salt", "_tasks", "_rows"
 
 
 @dataclass(frozen=True)
@@ -37,17 +42,42 @@ def fits_broadcast(frame: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes:
     return measure(frame).fits(max_rows, max_bytes)
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: str, how: str, salts: int = SALTS) -> DataFrame:
-    """Equi-join whose big side may hold one key in a large share of its rows, or no key at all.
+def _hot_keys(rows: DataFrame, on: str, rows_per_task: int) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows, and the number of tasks each needs.
+
+    Counts are combined before the shuffle, so finding a hot key does not suffer from it. A table of n rows has at most
+    n / rows_per_task such keys. Should that be too many to broadcast, only the hotter ones are split.
+    """
+    counts = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias(_ROWS))
+    hot = settle(counts.where(F.col(_ROWS) > rows_per_task))
+    threshold = rows_per_task
+    while not fits_broadcast(hot):
+        threshold *= 10
+        hot = hot.where(F.col(_ROWS) > threshold)
+    return hot.select(on, F.ceil(F.col(_ROWS) / rows_per_task).cast("int").alias(_TASKS))
+
+
+def salted_join(
+    big: DataFrame, small: DataFrame, on: str, how: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Equi-join of two shuffled sides, of which the big one may hold one key in a large share of its rows, or none.
 
-    Each row of the big side goes to one of ``salts`` groups of its key, chosen by a hash of the whole row, so that a
-    task that is run again makes the same choice; each row of the small side is copied to all of them. ``how`` is
-    inner, left or left_anti: the joins in which a row of the big side is matched on its own.
+    Hot keys of the big side are counted first. Their rows go to as many tasks as their number asks for, and only their
+    rows of the small side are copied, once per task; all other keys are joined as usual. The task is picked by a hash
+    of the whole row, so a task that is run again makes the same choice. Rows equal in every column stay together;
+    adaptive execution splits a partition that is still too large. ``how`` is inner, left or left_anti: the joins in
+    which a row of the big side is matched on its own.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
-    spread = big.withColumn(_SALT, F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
-    copies = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = F.broadcast(_hot_keys(big, on, rows_per_task))
+    tasks = F.coalesce(_TASKS, F.when(F.col(on).isNull(), _NULL_TASKS), F.lit(1))
+    spread = big.join(hot, on, "left").select(
+        *big.columns, F.pmod(F.xxhash64(*[F.col(name) for name in big.columns]), tasks).cast("int").alias(_SALT)
+    )
+    copies = small.join(hot, on, "left").select(
+        *small.columns, F.explode(F.sequence(F.lit(0), F.coalesce(_TASKS, F.lit(1)) - 1)).alias(_SALT)
+    )
     return spread.join(copies, [on, _SALT], how).drop(_SALT)
 
 
@@ -58,7 +88,7 @@ def dimension_join(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join facts with a dimension without moving the facts, as long as the dimension is measured to be small.
 
@@ -66,4 +96,4 @@ def dimension_join(
     """
     if fits_broadcast(dimension, max_rows, max_bytes):
         return facts.join(F.broadcast(dimension), on, how)
-    return salted_join(facts, dimension, on, how, salts)
+    return salted_join(facts, dimension, on, how, rows_per_task)

@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodmart.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, SALTS, fits_broadcast, salted_join
+from moodmart.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, ROWS_PER_TASK, fits_broadcast, salted_join
 from moodmart.schemas import same_columns
 from moodmart.session import settle
 
@@ -38,18 +38,17 @@ def unmatched(
     key: str,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Rows of ``history`` whose key is not in ``batch``; a null key matches nothing, so those rows stay.
 
     The batch's keys are stored once, then measured. Usually they are few: they are broadcast and history is only
-    streamed through. If they are not, both sides are shuffled by key and salt, which also spreads null keys and keys
-    with very many copies.
+    streamed through. If they are not, both sides are shuffled, with null keys and keys of very many rows spread.
     """
     keys = settle(batch.select(key).where(F.col(key).isNotNull()).distinct())
     if fits_broadcast(keys, max_rows, max_bytes):
         return history.join(F.broadcast(keys), key, "left_anti")
-    return salted_join(history, keys, key, "left_anti", salts)
+    return salted_join(history, keys, key, "left_anti", rows_per_task)
 
 
 def upsert(

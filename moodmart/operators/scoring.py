@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from moodmart.functions.labels import polarity_class, subjectivity_class
 from moodmart import fixed_values as V
-from moodmart.operators.joins import SALTS, measure, salted_join
+from moodmart.operators.joins import ROWS_PER_TASK, measure, salted_join
 
 # Largest lexicon that is put into the tasks as a lookup table; larger ones are joined
 LOOKUP_ROWS = 100_000
 LOOKUP_BYTES = 8 * 1024 * 1024
-_MOST_BUCKETS = 1 << 16
+_FEWEST_BUCKETS, _MOST_BUCKETS = 1 << 12, 1 << 17
 
 
 def words(text: Column) -> Column:
@@ -43,20 +43,18 @@ def _unique(lexicon: DataFrame) -> DataFrame:
 def lookup_table(lexicon: DataFrame, buckets: int) -> DataFrame:
     """One row with the lexicon as an array of small maps, word to weights; the word's hash says which one it is in.
 
-    A single map would be searched from its start for every word.
+    A single map would be searched from its start for every word. Buckets without words are null.
     """
-    # bounded by LOOKUP_ROWS; in one partition the three groupings need no shuffle
-    filled = (
-        _unique(lexicon.coalesce(1))
-        .groupBy(_bucket(F.col("word"), buckets).alias("bucket"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("word", F.struct("p", "s")))).alias("weights"))
+    entry = F.struct("word", F.struct("p", "s").alias("weights")).alias("entry")
+    words_in = _unique(lexicon.coalesce(1)).select(_bucket(F.col("word"), buckets).alias("bucket"), entry)
+    no_entry = F.lit(None).cast(words_in.schema["entry"].dataType).alias("entry")
+    every = lexicon.sparkSession.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("bucket"), no_entry)
+    # bounded by LOOKUP_ROWS; in one partition the groupings need no shuffle
+    filled = words_in.unionByName(every).coalesce(1).groupBy("bucket").agg(F.collect_list("entry").alias("entries"))
+    in_order = F.array_sort(F.collect_list(F.struct("bucket", "entries")))
+    return filled.agg(
+        F.transform(in_order, lambda slot: F.when(F.size(slot.entries) > 0, F.map_from_entries(slot.entries)))
     )
-    by_bucket = F.map_from_entries(F.collect_list(F.struct("bucket", "weights")))
-    # buckets without words are null
-    in_order = F.transform(
-        F.sequence(F.lit(0), F.lit(buckets - 1)), lambda bucket: F.try_element_at("by_bucket", bucket)
-    )
-    return filled.agg(by_bucket.alias("by_bucket")).select(in_order)
 
 
 def _score(total: Column, hits: Column) -> Column:
@@ -66,7 +64,8 @@ def _score(total: Column, hits: Column) -> Column:
 def _score_by_lookup(rows: DataFrame, text: str, lexicon: DataFrame, size: int) -> DataFrame:
     """Every row scores its own text: no shuffle, no join back, nothing moves but the lexicon."""
     kept = [F.col(name) for name in rows.columns]
-    buckets = min(1 << size.bit_length(), _MOST_BUCKETS)
+    # eight times the words, so that most words of a text meet an empty bucket and are done
+    buckets = min(max(1 << (8 * size).bit_length(), _FEWEST_BUCKETS), _MOST_BUCKETS)
 
     def weights(word: Column) -> Column:
         return F.try_element_at(F.get(F.col("_lookup"), _bucket(word, buckets)), word)
@@ -84,7 +83,7 @@ def _score_by_lookup(rows: DataFrame, text: str, lexicon: DataFrame, size: int)
     )
 
 
-def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, salts: int) -> DataFrame:
+def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, rows_per_task: int) -> DataFrame:
     """For a lexicon too large to copy: count words per text, join the counts with the lexicon, sum per text.
 
     Texts are told apart by hash, so no row key is needed. Copies of a text add to the same counts, which leaves the
@@ -98,7 +97,7 @@ def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, salts: int) -
         .agg(F.count(F.lit(1)).alias("n"))
     )
     sums = (
-        salted_join(counts, _unique(lexicon), "word", "inner", salts)
+        salted_join(counts, _unique(lexicon), "word", "inner", rows_per_task)
         .groupBy("_text")
         .agg(
             F.sum(F.col("p") * F.col("n")).alias("_p"),
@@ -106,7 +105,7 @@ def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, salts: int) -
             F.sum("n").alias("_n"),
         )
     )
-    joined = salted_join(hashed, sums, "_text", "left", salts)
+    joined = salted_join(hashed, sums, "_text", "left", rows_per_task)
     return joined.select(
         *rows.columns,
         _score(F.col("_p"), F.col("_n")).alias("sentiment_score"),
@@ -120,13 +119,13 @@ def score_texts(
     lexicon: DataFrame,
     max_rows: int = LOOKUP_ROWS,
     max_bytes: int = LOOKUP_BYTES,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``sentiment_score`` (-1 to 1) and ``subjectivity_score`` (0 to 1) of a text column."""
     size = measure(lexicon)
     if size.fits(max_rows, max_bytes):
         return _score_by_lookup(rows, text, lexicon, size.rows)
-    return _score_by_join(rows, text, lexicon, salts)
+    return _score_by_join(rows, text, lexicon, rows_per_task)
 
 
 def label_scores(scored: DataFrame, band: float = V.NEUTRAL_BAND) -> DataFrame:

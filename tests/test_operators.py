@@ -33,23 +33,42 @@ def skewed(spark):
     return spark.range(3000).select(key.alias("key"), F.col("id").alias("value"))
 
 
+SMALL = [("hot", 1), ("k1", 2), ("k1", 3), (None, 4), ("unused", 5)]
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 7, 100, 10_000])
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_salted_join_equals_join(spark, skewed, how):
-    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k1", 3), (None, 4), ("unused", 5)], "key string, x int")
-    assert ordered(joins.salted_join(skewed, small, "key", how)) == ordered(skewed.join(small, "key", how))
+def test_salted_join_equals_join(spark, skewed, how, rows_per_task):
+    small = spark.createDataFrame(SMALL, "key string, x int")
+    assert ordered(joins.salted_join(skewed, small, "key", how, rows_per_task)) == ordered(
+        skewed.join(small, "key", how)
+    )
+
 
+def partition_sizes(spark, frame):
+    """Rows per shuffle partition of the join, without broadcasts and without help from adaptive execution."""
+    return [row["count"] for row in frame.groupBy(F.spark_partition_id().alias("p")).count().collect()]
 
-def test_salted_join_spreads_a_hot_key(spark, skewed):
+
+def test_salted_join_spreads_a_hot_key_and_null_keys(spark, skewed):
     small = spark.createDataFrame([("hot", 1)], "key string, x int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
     try:
-        joined = joins.salted_join(skewed, small, "key", "left")
-        sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        plain = partition_sizes(spark, skewed.join(small, "key", "left"))
+        salted = partition_sizes(spark, joins.salted_join(skewed, small, "key", "left", rows_per_task=20))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 3000 and max(sizes) < 1000
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(plain) == sum(salted) == 3000
+    assert max(plain) >= 1000 and max(salted) < 600
+
+
+def test_only_hot_keys_are_copied(spark, skewed):
+    hot = {row["key"]: row["_tasks"] for row in joins._hot_keys(skewed, "key", 100).collect()}
+    assert hot == {"hot": 10}
 
 
 def test_salted_join_refuses_other_joins(spark, skewed):
