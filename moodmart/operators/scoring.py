@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from moodmart.functions.labels import polarity_class, subjectivity_class
 from moodmart import fixed_values as V
 from moodmart.operators.joins import ROWS_PER_TASK, measure, salted_join
+from moodmart.session import stage
 
 # Largest lexicon that is put into the tasks as a lookup table; larger ones are joined
 LOOKUP_ROWS = 100_000
 LOOKUP_BYTES = 8 * 1024 * 1024
-_FEWEST_BUCKETS, _MOST_BUCKETS = 1 << 12, 1 << 17
+_FEWEST_BUCKETS, _MOST_BUCKETS = 1 << 6, 1 << 17
 
 
 def words(text: Column) -> Column:
@@ -90,7 +91,8 @@ def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, rows_per_task
     mean as it is. Both joins are salted: common words and copied texts are hot keys.
     """
     hashed = rows.withColumn("_text", F.sha2(F.col(text), 256))
-    counts = (
+    # written, because the join reads it twice: to find the hot words, and to join
+    counts = stage(
         hashed.select("_text", F.explode(words(F.col(text))).alias("word"))
         .where(F.length("word") > 0)
         .groupBy("_text", "word")
