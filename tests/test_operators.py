@@ -301,3 +301,31 @@ def test_test_lexicon_gives_every_class(spark):
     documents = inputs.table(spark, "/root/testdata/sf0.01", "documents")
     scored = scoring.label_scores(scoring.score_texts(documents, "text", inputs.lexicon(spark)))
     assert scored.select("sentiment_label", "is_subjective").distinct().count() == 6
+
+
+def test_equal_rows_of_one_key_are_split_by_adaptive_execution(spark):
+    """What the hash of the row cannot spread: many rows that agree in every column."""
+    big = spark.range(0, 400_000, 1, 16).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 1000)).alias("key"),
+        F.when(F.col("id") % 2 == 0, F.lit("x" * 50)).otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("value"),
+    )
+    small = spark.createDataFrame([("k1",), ("k3",)], "key string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = joins.salted_join(big, small, "key", "left_anti", rows_per_task=50_000)
+        assert joined.count() == 400_000 - 2 * 400
+        counted = joined.groupBy().count()
+        counted.collect()
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
