@@ -36,7 +36,7 @@ REFERENCES = {
     "&hellip;": "…",
     "&middot;": "·",
     "&copy;": "©",
-    "&amp;": "&",  # last, so that text like &amp;lt; is decoded once
+    "&amp;": "&",
 }
 
 
@@ -80,17 +80,20 @@ def _strip_tags(markup: Column) -> Column:
 
 
 def _decode(text: Column) -> Column:
-    *others, last = REFERENCES.items()
-    decoded = text
-    for reference, character in others:
-        decoded = F.replace(decoded, F.lit(reference), F.lit(character))
-    # one scan tells whether any but the ampersand is there, instead of one scan for each
-    rare = "&(?:" + "|".join(reference[1:] for reference, _ in others) + ")"
-    return (
-        F.when(~text.contains("&"), text)
-        .when(text.rlike(rare), F.replace(decoded, F.lit(last[0]), F.lit(last[1])))
-        .otherwise(F.replace(text, F.lit(last[0]), F.lit(last[1])))
-    )
+    """One pass: the text is cut at every ampersand, and what follows says whether it starts a known reference."""
+    characters = F.create_map(*[F.lit(part) for pair in REFERENCES.items() for part in pair])
+    longest = max(len(reference) for reference in REFERENCES)
+
+    def piece(part: Column, position: Column) -> Column:
+        start = F.left(part, F.lit(longest - 1))
+        reference = F.concat(F.lit("&"), F.substring_index(start, ";", 1), F.lit(";"))
+        known = F.when(start.contains(";"), F.try_element_at(characters, reference))
+        after = F.substring(part, F.locate(";", part) + 1, F.length(part))
+        return F.when(position == 0, part).otherwise(
+            F.coalesce(F.concat(known, after), F.concat(F.lit("&"), part))
+        )
+
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&"), piece), "")).otherwise(text)
 
 
 def plain_texts(parts: Column) -> Column:
@@ -113,21 +116,22 @@ def _cut(markup: Column, tag: str) -> Column:
 def _pieces_until_closed(pieces: Column, tag: str) -> Column:
     """How many pieces lie inside an element of ``tag`` whose opening came just before the first piece."""
 
-    def step(state: Column, piece: Column) -> Column:
-        change = (
-            F.when(state.open == 0, 0)
-            .when(F.lower(F.left(piece, F.lit(2))) == "</", -1)
-            .when(F.startswith(F.lower(piece), F.lit(f"<{tag}")), 1)
+    def change(piece: Column) -> Column:
+        return (
+            F.when(F.left(piece, F.lit(2)) == "</", -1)
+            .when(F.lower(F.left(piece, F.lit(len(tag) + 1))) == f"<{tag}", 1)
             .otherwise(0)
         )
-        return F.struct((state.open + change).alias("open"), (state.seen + 1).alias("seen"))
 
-    def count(state: Column, piece: Column) -> Column:
-        moved = step(state, piece)
-        return F.when(moved.open == 0, F.struct(F.lit(0).alias("open"), state.seen.alias("seen"))).otherwise(moved)
+    def count(state: Column, step: Column) -> Column:
+        still_open = (state.open > 0) & (state.open + step > 0)
+        return F.struct(
+            F.when(still_open, state.open + step).otherwise(0).alias("open"),
+            F.when(still_open, state.seen + 1).otherwise(state.seen).alias("seen"),
+        )
 
     start = F.struct(F.lit(1).alias("open"), F.lit(0).alias("seen"))
-    return F.aggregate(pieces, start, count, lambda state: state.seen)
+    return F.aggregate(F.transform(pieces, change), start, count, lambda state: state.seen)
 
 
 def with_page_fields(pages: DataFrame, html: str = "html", selectors: PageSelectors = PageSelectors()) -> DataFrame:
