@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as entry_points
 from compare import connect, duckdb_rows, spark_rows
 from conftest import DATA
+from moodmart.workloads.oracle import ORACLE
+from moodmart.workloads.queries import QUERIES
 
 FOLDER = f"{DATA}/sf0.01"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
     columns, rows = spark_rows(QUERIES[name](spark, FOLDER))
