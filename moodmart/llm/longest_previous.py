@@ -73,15 +73,16 @@ class Blocks:
     def of(self, data: np.ndarray, offsets: np.ndarray, filters: list[KeyFilter], exact: bool):
         """Row, first and last start (offsets in the row), core hash and, if ``exact``, two hashes of the whole range."""
         none = np.zeros(0, np.int64)
+        nothing = (none, none, none, *[none.view(np.uint64)] * 3)
         if data.size < self.length:
-            return none, none, none, none.view(np.uint64), none.view(np.uint64), none.view(np.uint64)
+            return nothing
         hashes = RangeHash(data)
         places = np.arange(data.size - self.gram + 1)
         at = anchors(hashes.of(places, places + self.gram), self.length - self.gram + 1)
         ends = np.repeat(offsets[1:], np.diff(offsets))[: at.size]
         starts = np.flatnonzero(places[: at.size] + self.length <= ends)
         if not starts.size:
-            return none, none, none, none.view(np.uint64), none.view(np.uint64), none.view(np.uint64)
+            return nothing
         at, row = at[starts], np.searchsorted(offsets, starts, side="right") - 1
         for level, step in enumerate(self.steps):
             part = (at - starts) // step
@@ -95,6 +96,8 @@ class Blocks:
                 break
             going = np.repeat(filters[level].may_hold(core), last - begin + 1)
             starts, at, row = starts[going], at[going], row[going]
+            if not starts.size:
+                return nothing
         low, high, row = starts[begin], starts[last], row[begin]
         first = second = none.view(np.uint64)
         if exact:
