@@ -3,13 +3,14 @@
 There is no document tree. The limits that follow from that:
 
 * markup in comments, scripts and style sheets is removed first, so it cannot be mistaken for page structure;
-* an article nested in another is not told apart from its neighbour: the content starts at the last article opened;
-* a paragraph ends at the next ``</p>``, so a paragraph left open runs into the following one;
-* attribute values must be quoted;
-* the character references in ``REFERENCES`` are decoded, others stay as written.
+* a paragraph ends at the next tag of a paragraph, opening or closing, and at no other tag;
+* the attributes looked for must be quoted; a tag with a quote that is never closed is text;
+* a ``<`` that no letter, ``/``, ``!`` or ``?`` follows is text;
+* numeric references and those in ``REFERENCES`` are decoded if they end with a semicolon, others stay as written.
 """
 
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,27 +18,15 @@ from pyspark.sql import functions as F
 from moodmart import fixed_values as V
 from moodmart.functions.text import once
 
-REFERENCES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&#x27;": "'",
-    "&apos;": "'",
-    "&nbsp;": "\xa0",
-    "&pound;": "£",
-    "&euro;": "€",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&hellip;": "…",
-    "&middot;": "·",
-    "&copy;": "©",
-    "&amp;": "&",
-}
+# The named references of HTML 4, from Python's own table, and the one that XML adds
+REFERENCES = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'"}
+_LONGEST_REFERENCE = max(len(reference) for reference in REFERENCES)
+_LAST_CODE_POINT = 0x10FFFF
+
+# The rest of a tag: quoted values are skipped, so that a > inside one does not end it
+_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+_ATTRIBUTE = r"""\s++[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+"""
+_TAG = rf"<[a-zA-Z/!?]{_REST}"
 
 
 @dataclass(frozen=True)
@@ -66,9 +55,9 @@ def _quote(text: str) -> str:
 def _opening(tag: str, attribute: str | None = None, value: str | None = None, one_of: bool = False) -> str:
     """Pattern of an opening tag; ``one_of`` lets the attribute hold other blank-separated words around the value."""
     if value is None:
-        return rf"<{tag}(?=[\s>/])[^>]*>"
+        return rf"<{tag}(?=[\s>/]){_REST}"
     before, after = (r"(?:[^\"'>]*\s)?", r"(?:\s[^\"'>]*)?") if one_of else ("", "")
-    return rf"<{tag}(?=\s)[^>]*?\s{attribute}\s*=\s*[\"']{before}{_quote(value)}{after}[\"'][^>]*>"
+    return rf"<{tag}(?=\s)(?:{_ATTRIBUTE})*?\s+{attribute}\s*=\s*[\"']{before}{_quote(value)}{after}[\"']{_REST}"
 
 
 def drop_hidden_markup(html: Column) -> Column:
@@ -76,18 +65,31 @@ def drop_hidden_markup(html: Column) -> Column:
 
 
 def _strip_tags(markup: Column) -> Column:
-    return F.regexp_replace(markup, r"(?s)<[^>]*>", "")
+    return F.regexp_replace(markup, _TAG, "")
+
+
+def _numbered(digits: Column, base: int) -> Column:
+    """The character of a numeric reference; what is no character reads U+FFFD."""
+    code = F.conv(digits, base, 10).cast("decimal(20,0)")
+    valid = (code > 0) & (code <= _LAST_CODE_POINT) & ~code.between(0xD800, 0xDFFF)
+    encoded = F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0"))
+    return F.when(valid, F.decode(encoded, "UTF-32")).otherwise("\ufffd")
 
 
 def _decode(text: Column) -> Column:
     """One pass: the text is cut at every ampersand, and what follows says whether it starts a known reference."""
     characters = F.create_map(*[F.lit(part) for pair in REFERENCES.items() for part in pair])
-    longest = max(len(reference) for reference in REFERENCES)
+    decimal, hexadecimal = r"^#([0-9]{1,10});", r"^#[xX]([0-9a-fA-F]{1,10});"
 
     def piece(part: Column, position: Column) -> Column:
-        start = F.left(part, F.lit(longest - 1))
+        start = F.left(part, F.lit(max(_LONGEST_REFERENCE, 14)))
         reference = F.concat(F.lit("&"), F.substring_index(start, ";", 1), F.lit(";"))
-        known = F.when(start.contains(";"), F.try_element_at(characters, reference))
+        known = (
+            F.when(~start.contains(";"), F.lit(None).cast("string"))
+            .when(start.rlike(decimal), _numbered(F.regexp_extract(start, decimal, 1), 10))
+            .when(start.rlike(hexadecimal), _numbered(F.regexp_extract(start, hexadecimal, 1), 16))
+            .otherwise(F.try_element_at(characters, reference))
+        )
         after = F.substring(part, F.locate(";", part) + 1, F.length(part))
         return F.when(position == 0, part).otherwise(
             F.coalesce(F.concat(known, after), F.concat(F.lit("&"), part))
@@ -113,12 +115,16 @@ def _cut(markup: Column, tag: str) -> Column:
     return F.split(markup, rf"(?i)(?=</?{tag}(?=[\s>/]))")
 
 
-def _pieces_until_closed(pieces: Column, tag: str) -> Column:
-    """How many pieces lie inside an element of ``tag`` whose opening came just before the first piece."""
+def _pieces_until_closed(pieces: Column, tag: str, backwards: bool = False) -> Column:
+    """How many pieces lie inside an element of ``tag`` whose opening came just before the first piece.
+
+    ``backwards`` takes the pieces from the last to the first, for an element still open after the last one: then the
+    piece that its opening starts counts as well, and the result is null if there is no such element.
+    """
 
     def change(piece: Column) -> Column:
         return (
-            F.when(F.left(piece, F.lit(2)) == "</", -1)
+            F.when(F.lower(F.left(piece, F.lit(len(tag) + 2))) == f"</{tag}", -1)
             .when(F.lower(F.left(piece, F.lit(len(tag) + 1))) == f"<{tag}", 1)
             .otherwise(0)
         )
@@ -130,7 +136,17 @@ def _pieces_until_closed(pieces: Column, tag: str) -> Column:
             F.when(still_open, state.seen + 1).otherwise(state.seen).alias("seen"),
         )
 
+    def count_back(state: Column, step: Column) -> Column:
+        return F.struct(
+            F.when(state.open > 0, state.open - step).otherwise(0).alias("open"),
+            F.when(state.open > 0, state.seen + 1).otherwise(state.seen).alias("seen"),
+        )
+
     start = F.struct(F.lit(1).alias("open"), F.lit(0).alias("seen"))
+    if backwards:
+        return F.aggregate(
+            F.transform(F.reverse(pieces), change), start, count_back, lambda state: F.when(state.open <= 0, state.seen)
+        )
     return F.aggregate(F.transform(pieces, change), start, count, lambda state: state.seen)
 
 
@@ -149,8 +165,6 @@ def with_page_fields(pages: DataFrame, html: str = "html", selectors: PageSelect
     kept = [F.col(name) for name in pages.columns]
 
     headline = rf"(?is){_opening(s.headline_tag, 'class', s.headline_class, one_of=True)}"
-    article_opening = rf"(?is){_opening(s.article_tag)}"
-    article_closing = rf"(?i)</{s.article_tag}(?=[\s>])"
 
     # Markup before and after the last headline's opening tag
     step = pages.select(*kept, F.split(drop_hidden_markup(F.col(html)), headline).alias("_around"))
@@ -158,7 +172,7 @@ def with_page_fields(pages: DataFrame, html: str = "html", selectors: PageSelect
     step = step.select(
         *kept,
         F.coalesce(F.size("_around") > 1, F.lit(False)).alias("_found"),
-        F.when(F.size("_around") > 1, above).alias("_above"),
+        F.when(F.size("_around") > 1, _cut(above, s.article_tag)).alias("_above"),
         F.when(F.size("_around") > 1, F.element_at("_around", -1)).alias("_after"),
     )
 
@@ -166,17 +180,19 @@ def with_page_fields(pages: DataFrame, html: str = "html", selectors: PageSelect
     step = step.select(
         *kept,
         "_found",
-        F.split("_above", article_opening).alias("_opened"),
-        F.size(F.split("_above", article_closing)).alias("_closed"),
-        F.element_at(F.split("_after", article_closing, 2), 1).alias("_below"),
+        "_above",
+        _pieces_until_closed(F.col("_above"), s.article_tag, backwards=True).alias("_depth"),
+        _cut(F.col("_after"), s.article_tag).alias("_below"),
     )
+    opened = F.slice("_above", F.size("_above") - F.col("_depth") + 1, F.col("_depth"))
+    inside = F.slice("_below", F.lit(1), _pieces_until_closed(F.col("_below"), s.article_tag))
     step = step.select(
         *kept,
         "_found",
-        F.when(F.size("_opened") > F.col("_closed"), F.element_at("_opened", -1)).alias("_lead"),
-        "_below",
-        _cut(F.col("_below"), s.headline_tag).alias("_pieces"),
+        F.when(F.col("_depth").isNotNull(), F.array_join(opened, "")).alias("_lead"),
+        F.array_join(inside, "").alias("_below"),
     )
+    step = step.select(*kept, "_found", "_lead", "_below", _cut(F.col("_below"), s.headline_tag).alias("_pieces"))
 
     # The headline element itself: title and date are looked for nowhere else
     inside = F.slice("_pieces", F.lit(1), _pieces_until_closed(F.col("_pieces"), s.headline_tag))
@@ -190,7 +206,10 @@ def with_page_fields(pages: DataFrame, html: str = "html", selectors: PageSelect
         rf"(?is){_opening(s.timestamp_tag, 'data-testid', s.timestamp_testid)}.*?"
         rf"{_opening(s.timestamp_tag, 'data-testid', s.timestamp_text_testid)}(.*?)</{s.timestamp_tag}\s*>"
     )
-    one_paragraph = rf"(?is){_opening(s.paragraph_tag, 'class', s.paragraph_class)}(.*?)</{s.paragraph_tag}\s*>"
+    # An open paragraph ends where the next one starts
+    one_paragraph = (
+        rf"(?is){_opening(s.paragraph_tag, 'class', s.paragraph_class)}(.*?)(?=</?{s.paragraph_tag}(?=[\s>/])|\z)"
+    )
     step = step.select(
         *kept,
         "_found",

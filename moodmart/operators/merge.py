@@ -1,6 +1,7 @@
 """Latest row per key, keyed upsert, and unions that check their columns."""
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,10 +46,32 @@ def unmatched(
     The batch's keys are stored once, then measured. Usually they are few: they are broadcast and history is only
     streamed through. If they are not, both sides are shuffled, with null keys and keys of very many rows spread.
     """
+    return split_by_keys(history, batch, key, max_rows, max_bytes, rows_per_task).unmatched
+
+
+@dataclass(frozen=True)
+class Split:
+    matched: DataFrame
+    unmatched: DataFrame
+
+
+def split_by_keys(
+    history: DataFrame,
+    batch: DataFrame,
+    key: str,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> Split:
+    """The rows of ``history`` whose key is in ``batch``, and the others; see :func:`unmatched`."""
     keys = settle(batch.select(key).where(F.col(key).isNotNull()).distinct())
     if fits_broadcast(keys, max_rows, max_bytes):
-        return history.join(F.broadcast(keys), key, "left_anti")
-    return salted_join(history, keys, key, "left_anti", rows_per_task)
+        few = F.broadcast(keys)
+        return Split(history.join(few, key, "left_semi"), history.join(few, key, "left_anti"))
+    return Split(
+        salted_join(history, keys, key, "inner", rows_per_task).select(*history.columns),
+        salted_join(history, keys, key, "left_anti", rows_per_task).select(*history.columns),
+    )
 
 
 def upsert(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from moodmart.functions.labels import polarity_class, subjectivity_class
 from moodmart import fixed_values as V
-from moodmart.operators.joins import ROWS_PER_TASK, measure, salted_join
+from moodmart.operators.joins import ROWS_PER_TASK, Size, dimension_join, measure
 from moodmart.session import stage
 
 # Largest lexicon that is put into the tasks as a lookup table; larger ones are joined
@@ -28,15 +28,24 @@ def _bucket(word: Column, buckets: int) -> Column:
 
 
 def _unique(lexicon: DataFrame) -> DataFrame:
-    """Weights per word. A word listed twice is an error, raised while the lexicon is used."""
-    once = F.count(F.lit(1)) == 1
-    repeated = F.raise_error(F.concat(F.lit("listed twice in the lexicon: "), F.col("word")))
+    """Weights per word. A word listed twice or with a weight that is missing or out of range is an error, raised while
+    the lexicon is used, whichever way that is."""
+
+    def known(weight: str, least: int) -> Column:
+        fits = F.max(weight).between(least, 100)
+        return (
+            F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit("listed twice in the lexicon: "), F.col("word"))))
+            .when(fits, F.max(weight))
+            .otherwise(F.raise_error(F.concat(F.lit("no weight in range in the lexicon: "), F.col("word"))))
+            .cast("long")
+        )
+
     return (
         lexicon.where(F.length("word") > 0)
         .groupBy("word")
         .agg(
-            F.when(once, F.max("polarity_h")).otherwise(repeated).cast("long").alias("p"),
-            F.when(once, F.max("subjectivity_h")).otherwise(repeated).cast("long").alias("s"),
+            known("polarity_h", -100).alias("p"),
+            known("subjectivity_h", 0).alias("s"),
         )
     )
 
@@ -88,7 +97,9 @@ def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, rows_per_task
     """For a lexicon too large to copy: count words per text, join the counts with the lexicon, sum per text.
 
     Texts are told apart by hash, so no row key is needed. Copies of a text add to the same counts, which leaves the
-    mean as it is. Both joins are salted: common words and copied texts are hot keys.
+    mean as it is. Words and weights move, and the scores of the different texts; the texts themselves stay where they
+    are unless those scores are measured to be too many to broadcast. Beyond that both joins are salted: common words
+    and copied texts are hot keys.
     """
     hashed = rows.withColumn("_text", F.sha2(F.col(text), 256))
     # written, because the join reads it twice: to find the hot words, and to join
@@ -98,8 +109,8 @@ def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, rows_per_task
         .groupBy("_text", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    sums = (
-        salted_join(counts, _unique(lexicon), "word", "inner", rows_per_task)
+    sums = stage(
+        dimension_join(counts, stage(_unique(lexicon)), "word", rows_per_task=rows_per_task)
         .groupBy("_text")
         .agg(
             F.sum(F.col("p") * F.col("n")).alias("_p"),
@@ -107,7 +118,7 @@ def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, rows_per_task
             F.sum("n").alias("_n"),
         )
     )
-    joined = salted_join(hashed, sums, "_text", "left", rows_per_task)
+    joined = dimension_join(hashed, sums, "_text", "left", rows_per_task=rows_per_task)
     return joined.select(
         *rows.columns,
         _score(F.col("_p"), F.col("_n")).alias("sentiment_score"),
@@ -122,9 +133,13 @@ def score_texts(
     max_rows: int = LOOKUP_ROWS,
     max_bytes: int = LOOKUP_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    size: Size | None = None,
 ) -> DataFrame:
-    """Add ``sentiment_score`` (-1 to 1) and ``subjectivity_score`` (0 to 1) of a text column."""
-    size = measure(lexicon)
+    """Add ``sentiment_score`` (-1 to 1) and ``subjectivity_score`` (0 to 1) of a text column.
+
+    Pass the lexicon's ``size`` where several texts are scored with it, so that it is measured once.
+    """
+    size = measure(lexicon) if size is None else size
     if size.fits(max_rows, max_bytes):
         return _score_by_lookup(rows, text, lexicon, size.rows)
     return _score_by_join(rows, text, lexicon, rows_per_task)

@@ -8,7 +8,7 @@ from moodmart.functions.dates import date_parts
 from moodmart.functions.labels import label_flag
 from moodmart.functions.text import fan_key, professional_key, title_key, trend_key
 from moodmart.operators.filters import keep_fan, keep_professional
-from moodmart.operators.joins import dimension_join
+from moodmart.operators.joins import Size, dimension_join
 from moodmart.operators.merge import union_all
 from moodmart.operators.numbering import number_sorted
 from moodmart.operators.reactions import article_reactions, explode_comments
@@ -109,14 +109,19 @@ def reaction(articles: DataFrame, teams: DataFrame) -> DataFrame:
 
 def _with_sentiment_id(labelled: DataFrame, sentiments: DataFrame) -> DataFrame:
     keys = sentiments.select("sentiment_label", F.col("sentiment_id").alias("fk_sentiment_id"))
-    return dimension_join(labelled, keys, "sentiment_label", "left")
+    # Three constant rows, stored or not
+    return labelled.join(F.broadcast(keys), "sentiment_label", "left")
 
 
 def fact_reaction(
-    reactions: DataFrame, sentiments: DataFrame, lexicon: DataFrame, band: float = V.NEUTRAL_BAND
+    reactions: DataFrame,
+    sentiments: DataFrame,
+    lexicon: DataFrame,
+    band: float = V.NEUTRAL_BAND,
+    size: Size | None = None,
 ) -> DataFrame:
     """Scores of every reaction. They are columns of the reaction's own row; nothing is joined back to it."""
-    labelled = label_scores(score_texts(reactions, "content", lexicon), band)
+    labelled = label_scores(score_texts(reactions, "content", lexicon, size=size), band)
     return _with_sentiment_id(labelled, sentiments).select(
         "reaction_id",
         "fk_article_id",
@@ -132,10 +137,14 @@ def fact_reaction(
 
 
 def fact_title(
-    article_table: DataFrame, sentiments: DataFrame, lexicon: DataFrame, band: float = V.NEUTRAL_BAND
+    article_table: DataFrame,
+    sentiments: DataFrame,
+    lexicon: DataFrame,
+    band: float = V.NEUTRAL_BAND,
+    size: Size | None = None,
 ) -> DataFrame:
     """Scores of every article title."""
-    labelled = label_scores(score_texts(article_table, "article_title", lexicon), band)
+    labelled = label_scores(score_texts(article_table, "article_title", lexicon, size=size), band)
     return _with_sentiment_id(labelled, sentiments).select(
         title_key(F.col("article_id")).alias("title_id"),
         "fk_sentiment_id",

@@ -5,6 +5,7 @@ that several jobs need is computed once.
 """
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,14 @@ from pyspark.sql import types as T
 from moodmart import fixed_values as V
 from moodmart import schemas as S
 from moodmart.functions.dates import run_timestamp
-from moodmart.operators.merge import upsert
+from moodmart.operators.merge import union_all, unmatched
 from moodmart.plans import bronze, gold, silver
+from moodmart.session import stage
 from moodmart.sources.tables import read_table, write_table
 
 LANDED = S.with_column(S.PAGES, "extracted_date", T.DateType())
-_STORED_ARTICLES = S.with_column(S.ARTICLES, "published_month", T.StringType())
+_STORED_ARTICLES = S.with_column(S.STORED_ARTICLES, "published_month", T.StringType())
+_STORED_REJECTED = S.with_column(S.REJECTED, "extracted_date", T.DateType())
 
 GOLD_TABLES = {
     "dim_team": S.DIM_TEAM,
@@ -70,10 +73,14 @@ def read_gold(spark: SparkSession, warehouse: Warehouse, table: str) -> DataFram
     return read_table(spark, warehouse.gold(table), GOLD_TABLES[table])
 
 
+def _moment(spark: SparkSession, run_ts: Column | None) -> datetime:
+    return spark.range(1).select((run_timestamp() if run_ts is None else run_ts).cast("timestamp_ntz")).first()[0]
+
+
 def land(spark: SparkSession, warehouse: Warehouse, raw: DataFrame, run_ts: Column | None = None) -> int:
     """Add fetched rows ``teamName, page, html`` to the day's pages; only that day's partition is read and replaced."""
     # one moment for all rows and for the partition they go to
-    moment = spark.range(1).select((run_timestamp() if run_ts is None else run_ts).cast("timestamp_ntz")).first()[0]
+    moment = _moment(spark, run_ts)
     today = read_pages(spark, warehouse).where(F.col("extracted_date") == F.lit(moment.date()))
     landed = bronze.land_pages(raw, today, F.lit(moment))
     return write_table(
@@ -104,14 +111,16 @@ def refresh_articles(
     """Bring the article table up to date from ``pages`` (by default all landed ones).
 
     A key contains the publication date, so an article can only replace one of its own month. Months without new
-    articles are neither read nor written: cost follows the pages given, not the history.
+    articles are neither read nor written: cost follows the pages given, not the history. The stored articles keep the
+    fetch they are from and the same order decides in every run, so it does not matter how landed pages are dealt out
+    to runs. Pages given again are judged again: whatever was rejected of them before is replaced.
     """
     if pages is None:
         pages = read_pages(spark, warehouse)
     found = silver.articles_from_pages(pages, **options)
-    batch = found.accepted.withColumn("published_month", _month(F.col("publishedDate")))
-    stored = read_table(spark, warehouse.articles, _STORED_ARTICLES)
-    merged = upsert(in_months_of(found.keys, stored), batch, "id", batch_keys=found.keys)
+    stored = in_months_of(found.keys, read_table(spark, warehouse.articles, _STORED_ARTICLES))
+    merged = silver.merge_articles(stored, found)
+    merged = merged.withColumn("published_month", _month(F.col("publishedDate")))
     return {
         "articles": write_table(
             # splits large months over several files and gathers the small ones
@@ -120,15 +129,29 @@ def refresh_articles(
             partition_by=["published_month"],
             only_touched_partitions=True,
         ),
-        "rejected": write_table(
-            found.rejected.withColumn("extracted_date", F.to_date("_extractedDate")),
-            warehouse.rejected,
-            partition_by=["extracted_date"],
-            only_touched_partitions=True,
-        ),
+        "rejected": _store_rejected(spark, warehouse, pages, found.rejected),
     }
 
 
+def _store_rejected(spark: SparkSession, warehouse: Warehouse, pages: DataFrame, rejected: DataFrame) -> int:
+    """Replace what was rejected of the given pages. Only the days of these pages are read and written."""
+    judged = stage(pages.select("_hashedId", F.to_date("_extractedDate").alias("extracted_date")).distinct())
+    # As many as days of fetching among the pages
+    days = [row[0] for row in judged.select("extracted_date").distinct().collect()]
+    stored = read_table(spark, warehouse.rejected, _STORED_REJECTED).where(F.col("extracted_date").isin(days))
+    key = F.concat_ws("|", "extracted_date", "_hashedId")
+    others = unmatched(stored.withColumn("_key", key), judged.select(key.alias("_key")), "_key").drop("_key")
+    kept = stage(union_all(rejected.withColumn("extracted_date", F.to_date("_extractedDate")), others))
+    written = {row[0] for row in kept.select("extracted_date").distinct().collect()}
+    # A day of which nothing is rejected any more has no rows that could replace its partition
+    emptied = {row[0] for row in stored.select("extracted_date").distinct().collect()} - written
+    count = write_table(kept, warehouse.rejected, partition_by=["extracted_date"], only_touched_partitions=True)
+    for day in emptied:
+        none = spark.createDataFrame([], S.REJECTED)
+        none.write.mode("overwrite").parquet(f"{warehouse.rejected}/extracted_date={day}")
+    return count
+
+
 def refresh_gold(
     spark: SparkSession, warehouse: Warehouse, lexicon: DataFrame, band: float = V.NEUTRAL_BAND, iso_year: bool = False
 ) -> dict[str, int]:
@@ -160,8 +183,13 @@ def refresh(
     run_ts: Column | None = None,
     **options,
 ) -> dict[str, int]:
-    """One daily run, from fetched rows to the trend; returns the rows of every table it wrote."""
-    counts = {"pages": land(spark, warehouse, raw, run_ts)}
-    counts |= refresh_articles(spark, warehouse, **options)
+    """One daily run, from fetched rows to the trend; returns the rows of every table it wrote.
+
+    Only the pages of the run's day are extracted; earlier days are in the article table already.
+    """
+    moment = _moment(spark, run_ts)
+    counts = {"pages": land(spark, warehouse, raw, F.lit(moment))}
+    landed = read_pages(spark, warehouse).where(F.col("extracted_date") == F.lit(moment.date()))
+    counts |= refresh_articles(spark, warehouse, landed, **options)
     counts |= refresh_gold(spark, warehouse, lexicon)
     return counts

@@ -9,14 +9,14 @@ from moodmart.functions.dates import published_date
 from moodmart.functions.html import PageSelectors, with_page_fields
 from moodmart.functions.text import article_key, text_hash
 from moodmart.operators.filters import drop_failed_pages, drop_live_coverage, legacy_keep_http_500
-from moodmart.operators.merge import dedup_latest, upsert
-from moodmart.schemas import ARTICLES, REJECTED
+from moodmart.operators.merge import dedup_latest, split_by_keys, union_all, upsert
+from moodmart.schemas import ARTICLES, REJECTED, STORED_ARTICLES
 from moodmart.session import stage
 
 
 @dataclass(frozen=True)
 class Articles:
-    """``accepted`` has one row per article; ``rejected`` are pages without a usable date, which have no key.
+    """``accepted`` has one row per article and the fetch it is from; ``rejected`` are pages without a usable date.
 
     ``keys`` has ``id`` and ``publishedDate`` of the accepted articles, some more than once; unlike ``accepted`` it
     needs no shuffle.
@@ -48,9 +48,13 @@ def extract_articles(
 
 
 def latest_articles(extracted: DataFrame) -> DataFrame:
-    """One row per key: from the newest fetch, then the lowest page, then by content hash."""
-    order = [F.col("_extractedDate").desc(), F.col("page"), text_hash(F.col("content"))]
-    return dedup_latest(extracted, "id", order).select(*ARTICLES.fieldNames())
+    """One row per key: from the newest fetch, then the lowest page, then by content hash and page key.
+
+    The order is total and the columns it needs stay with the rows, so taking the latest of parts and then the latest of
+    those gives the same rows as taking it of all at once, however the pages are split.
+    """
+    order = [F.col("_extractedDate").desc(), F.col("page"), text_hash(F.col("content")), F.col("_hashedId")]
+    return dedup_latest(extracted, "id", order).select(*STORED_ARTICLES.fieldNames())
 
 
 def articles_from_pages(pages: DataFrame, **options) -> Articles:
@@ -58,8 +62,7 @@ def articles_from_pages(pages: DataFrame, **options) -> Articles:
 
     Extraction is the costly part and its result has several readers, so it is written once, without the markup.
     """
-    kept = ("_hashedId", "_extractedDate", "page", *ARTICLES.fieldNames())
-    extracted = stage(extract_articles(pages, **options).select(*kept))
+    extracted = stage(extract_articles(pages, **options).select(*STORED_ARTICLES.fieldNames()))
     has_key = F.col("id").isNotNull()
     keyed = extracted.where(has_key)
     return Articles(
@@ -72,4 +75,20 @@ def articles_from_pages(pages: DataFrame, **options) -> Articles:
 def build_articles(pages: DataFrame, history: DataFrame, **options) -> DataFrame:
     """The article table after a run: what the pages hold, and earlier articles that are not among it."""
     found = articles_from_pages(pages, **options)
-    return upsert(history.select(*ARTICLES.fieldNames()), found.accepted, "id", batch_keys=found.keys)
+    accepted = found.accepted.select(*ARTICLES.fieldNames())
+    return upsert(history.select(*ARTICLES.fieldNames()), accepted, "id", batch_keys=found.keys)
+
+
+def rejected_pages(pages: DataFrame, **options) -> DataFrame:
+    """Only the pages without a usable date. Nothing else reads the extraction then, so it is not written."""
+    extracted = extract_articles(pages, **options)
+    return extracted.where(F.col("id").isNull()).select(*REJECTED.fieldNames())
+
+
+def merge_articles(stored: DataFrame, found: Articles) -> DataFrame:
+    """Stored articles and those just found, one per key by the order of :func:`latest_articles`.
+
+    Stored articles whose key was not found pass through; only the others compete.
+    """
+    parts = split_by_keys(stored.select(*found.accepted.columns), found.keys, "id")
+    return union_all(latest_articles(union_all(parts.matched, found.accepted)), parts.unmatched)

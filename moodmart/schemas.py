@@ -15,6 +15,11 @@ _TEXT, _LONG, _INT, _DATE, _REAL, _FLAG = (
 RAW_PAGES = _schema(teamName=_TEXT, page=_INT, html=_TEXT)
 PAGES = _schema(_hashedId=_TEXT, _extractedDate=T.TimestampNTZType(), teamName=_TEXT, page=_INT, html=_TEXT)
 ARTICLES = _schema(teamName=_TEXT, publishedDate=_DATE, title=_TEXT, content=_TEXT, id=_TEXT)
+# Stored articles say which fetch they are from, so that a later run can tell which of two is to stay
+STORED_ARTICLES = _schema(
+    teamName=_TEXT, publishedDate=_DATE, title=_TEXT, content=_TEXT, id=_TEXT,
+    _hashedId=_TEXT, _extractedDate=T.TimestampNTZType(), page=_INT,
+)
 REJECTED = _schema(_hashedId=_TEXT, _extractedDate=T.TimestampNTZType(), teamName=_TEXT, title=_TEXT, content=_TEXT)
 ARTICLE = _schema(article_id=_TEXT, fk_team_id=_LONG, article_title=_TEXT, published_at=_DATE)
 DIM_ARTICLE = T.StructType(ARTICLE.fields + [T.StructField("fk_title_id", _TEXT, True)])

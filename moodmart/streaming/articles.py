@@ -1,8 +1,10 @@
 """Incremental refresh of the article table: each run takes the page files that have landed since the last one.
 
 The batch refresh extracts every landed page again. Here the stream's checkpoint remembers which files were taken, so
-a run costs what its new pages cost. Articles are merged by key, so taking a page twice changes nothing: a file that
-is written again by a second landing on its day, or a batch repeated after a failure, does no harm.
+a run costs what its new pages cost. Articles are merged by key, in an order that stored articles carry with them, and
+rejected pages are replaced page by page. So neither the number of files per batch nor their order changes the result,
+and taking a page twice changes nothing: a file that is written again by a second landing on its day, or a batch
+repeated after a failure, does no harm.
 """
 
 from pyspark.sql import DataFrame, SparkSession

@@ -193,7 +193,7 @@ def build_articles(spark: SparkSession, folder: str) -> DataFrame:
 def rejected_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages without a date, which are set aside."""
     pages = I.dated_pages(spark, folder)
-    return silver.articles_from_pages(pages, selectors=I.DATED_PAGE).rejected.select(
+    return silver.rejected_pages(pages, selectors=I.DATED_PAGE).select(
         F.col("_hashedId").alias("page_id"), "teamName", "title", "content"
     )
 
