@@ -1,15 +1,20 @@
 """Near-duplicate documents by ProbMinHash signatures, banding and verification.
 
-A document is a weighted set: its shingles of ``shingle`` words, each with the number of times it occurs (a document of
-fewer words is one shingle of all its words). For every shingle a Poisson process with the shingle's weight as its rate
+A document is a weighted set: its shingles of ``shingle`` words, each with the weight 1 + ln(times it occurs), so that a
+phrase repeated all over does not outweigh the rest (a document of fewer words is one shingle of all its words). For every shingle a Poisson process with the shingle's weight as its rate
 is drawn from a generator seeded with the shingle's hash; each arrival falls on a random component of the signature,
 and a component keeps the shingle that arrives first. A document's processes stop as soon as their next arrival is later
 than every component's. Two signatures agree in a component with the probability Jaccard similarity of the two sets.
 
-Signatures are cut into bands; documents with an equal band share a bucket. In a bucket the least document leads and is
-paired with the others; pairs are verified with the exact similarity of their whole weighted sets. Whoever is not yet
-in its leader's class leads in a later round, against the members of other classes, until no such document is left:
-so no pair of a bucket goes unexamined unless its two documents are already in one class, and no round makes all pairs.
+Signatures are cut into bands; documents with an equal band share a bucket. In a bucket the document with most company
+leads and is paired with the others; pairs are verified with the exact similarity of their whole weighted sets. Whoever
+is not yet in its leader's class leads in a later round, against the members of other classes, until no such document is
+left: so no pair of a bucket goes unexamined unless its two documents are already in one class.
+
+Pairs that cannot reach the threshold are not made. Each set has a sketch of ``SKETCH_WORDS`` x 64 bits, the parity of
+its shingles per bit, so two sketches differ in at most as many bits as the sets differ in shingles. This bounds the
+similarity from above, and the bound is a condition of the join that makes the pairs. It never takes a pair away that
+reaches the threshold.
 
 Rules: equal texts are one node, so copies are never compared or paired. A null text counts as empty; texts without
 words are in a class only with their exact copies. Repeated rows stay rows of the result. Class identifiers are the
@@ -22,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodmart.llm.components import components
@@ -35,6 +40,11 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS = 25
 ROWS_PER_BAND = 5
+SKETCH_WORDS = 8
+# Leaders per bucket in each round: one, then so many times more
+MORE_LEADERS = 16
+
+SKETCH = tuple(f"s{place}" for place in range(SKETCH_WORDS))
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,7 +64,7 @@ def weighted_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.
     new = np.ones(value.size, bool)
     new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
     begin = np.flatnonzero(new)
-    return row[begin], value[begin], np.diff(np.append(begin, value.size)).astype(float)
+    return row[begin], value[begin], 1 + np.log(np.diff(np.append(begin, value.size)))
 
 
 def signatures(row: np.ndarray, value: np.ndarray, weight: np.ndarray, rows: int, size: int) -> np.ndarray:
@@ -112,17 +122,46 @@ def _signed(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                 band = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (count, bands)).copy()
                 for place in range(rows):
                     band = mix(band * _GOLDEN + signature[:, :, place])
-                filled = np.bincount(row, minlength=count) > 0
+                sizes = np.bincount(row, minlength=count)
+                total = np.bincount(row, weights=weight, minlength=count)
+                bits = 64 * SKETCH_WORDS
+                parity = np.bincount(row * bits + (value % np.uint64(bits)).astype(np.int64), minlength=count * bits) & 1
+                sketch = np.packbits(parity.astype(bool).reshape(count, bits), axis=1).view(np.int64)
+                filled = sizes > 0
                 ends = np.concatenate([[0], np.cumsum(np.where(filled, bands, 0))]).astype(np.int32)
                 values = pa.array(band[filled].reshape(-1).view(np.int64))
                 part = kept.slice(first, count)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.ListArray.from_arrays(pa.array(ends), values)],
-                    names=[*part.schema.names, "bands"],
+                    [
+                        *part.columns,
+                        pa.ListArray.from_arrays(pa.array(ends), values),
+                        pa.array(total),
+                        pa.array(total == sizes),
+                        *(pa.array(np.ascontiguousarray(sketch[:, place])) for place in range(SKETCH_WORDS)),
+                    ],
+                    names=[*part.schema.names, "bands", "total", "plain", *SKETCH],
                 )
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(scan, f"{schema}, bands array<bigint>")
+    # total: the sum of weights; plain: whether no shingle is repeated
+    words = "".join(f", {name} bigint" for name in SKETCH)
+    return docs.mapInArrow(scan, f"{schema}, bands array<bigint>, total double, plain boolean{words}")
+
+
+def within_reach(a: str, b: str, threshold: float) -> Column:
+    """Whether two documents, structs with total, plain and a sketch, can reach the threshold.
+
+    Without repeated shingles the similarity is Jaccard's, at most (n - d) / (n + d) for sets of n shingles in all that
+    differ in d. In general a share p of a document's weight that the other lacks, put as q = p / (1 - p), allows no more
+    than 1 / (1 + q + q'); every such shingle weighs at least 1, so with the larger total for both, n is twice that.
+    """
+    apart = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH[1:]), F.bit_count(
+        F.col(f"{a}.{SKETCH[0]}").bitwiseXOR(F.col(f"{b}.{SKETCH[0]}"))
+    ))
+    totals = [F.col(f"{name}.total") for name in (a, b)]
+    plain = F.col(f"{a}.plain") & F.col(f"{b}.plain")
+    both = F.when(plain, totals[0] + totals[1]).otherwise(2 * F.greatest(*totals))
+    return both - apart >= F.lit(threshold - 1e-9) * (both + apart)
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -137,12 +176,12 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
                     [
                         batch.column("rid").slice(first, last - first),
                         pa.ListArray.from_arrays(ends, pa.array(value.view(np.int64))),
-                        pa.ListArray.from_arrays(ends, pa.array(weight.astype(np.int32))),
+                        pa.ListArray.from_arrays(ends, pa.array(weight)),
                     ],
                     names=["rid", "hashes", "weights"],
                 )
 
-    return docs.select("rid", "text").mapInArrow(scan, "rid bigint, hashes array<bigint>, weights array<int>")
+    return docs.select("rid", "text").mapInArrow(scan, "rid bigint, hashes array<bigint>, weights array<double>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -171,6 +210,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(compare, "a bigint, b bigint, similarity double")
 
 
+def _pairs(members: DataFrame, leaders: DataFrame, met: Column) -> DataFrame:
+    """Different pairs (a, b) of a leader and a member of its bucket that meet a condition; it is part of the join."""
+    shared = members["bucket"] == leaders["bucket"]
+    return (
+        members.join(leaders, shared & met)
+        .select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = SIMILARITY,
@@ -193,14 +242,19 @@ def near_duplicates(
     )
     signed = stage_numbered(_signed(flat, shingle, bands, rows))
     # One node per different text
+    one = ("bands", "total", "plain", *SKETCH)
     nodes = stage(
         signed.groupBy("key_text", "key_check").agg(
-            F.min(F.struct("rid", "key_id")).alias("least"), F.first("bands").alias("bands")
+            F.min(F.struct("rid", "key_id")).alias("least"), *[F.first(name).alias(name) for name in one]
         )
     )
     member = nodes.select(F.col("least.rid").alias("rid"), F.explode("bands").alias("bucket"))
     crowded = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    buckets = stage(member.join(crowded.select("bucket"), "bucket"))
+    company = stage(member.join(crowded, "bucket"))
+    known = nodes.select(F.col("least.rid").alias("rid"), F.struct("total", "plain", *SKETCH).alias("sketch")).join(
+        company.groupBy("rid").agg(F.sum("n").alias("company")), "rid"
+    )
+    buckets = stage(company.select("bucket", "rid").join(known, "rid"))
     candidates = stage(
         nodes.select(
             F.col("least.rid").alias("rid"),
@@ -212,42 +266,45 @@ def near_duplicates(
     compared = dimension_join(keyed.select("key", "text"), candidates, "key")
     sets = stage(_sets(compared, shingle).dropDuplicates(["rid"]))
 
-    leaders = buckets.groupBy("bucket").agg(F.min("rid").alias("a"))
-    pairs = buckets.join(leaders, "bucket").where(F.col("rid") > F.col("a")).select("a", F.col("rid").alias("b"))
-    checked = stage(pairs.distinct())
+    lead = ("company", "rid", "sketch")
+    leaders = buckets.groupBy("bucket").agg(F.max(F.struct(*lead)).alias("lead"))
+    leaders = stage(leaders.select("bucket", F.col("lead.rid").alias("a"), F.col("lead.sketch").alias("a_sketch")))
+    met = (F.col("rid") != F.col("a")) & within_reach("sketch", "a_sketch", threshold)
+    checked = stage(_pairs(buckets, leaders, met))
     links = stage(_verified(checked, sets, threshold))
     roots = stage(components(links))
-    tried = stage(leaders.select("bucket", F.col("a").alias("rid")))
+    tried = leaders.select("bucket", F.col("a").alias("rid"))
     slots = 1
     while True:
-        placed = (
-            buckets.join(roots, buckets["rid"] == roots["node"], "left")
-            .select("bucket", "rid", F.coalesce("root", "rid").alias("root"))
+        placed = buckets.join(roots.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
+            "root", F.coalesce("root", "rid")
         )
-        lead = placed.groupBy("bucket").agg(F.min(F.struct("rid", "root")).alias("lead"))
-        placed = stage(placed.join(lead, "bucket").select("bucket", "rid", "root", F.col("lead.root").alias("main")))
+        main = placed.groupBy("bucket").agg(F.max(F.struct("company", "rid", "root")).alias("main"))
+        placed = stage(placed.join(main.select("bucket", "main.root").withColumnRenamed("root", "main"), "bucket"))
         apart = placed.where(F.col("root") != F.col("main")).join(tried, ["bucket", "rid"], "left_anti")
         chosen = stage(
             apart.groupBy("bucket", F.pmod(F.xxhash64("rid"), F.lit(slots)).alias("slot"))
-            .agg(F.min(F.struct("rid", "root")).alias("one"))
-            .select("bucket", F.col("one.rid").alias("a"), F.col("one.root").alias("a_root"))
+            .agg(F.max(F.struct(*lead, "root")).alias("lead"))
+            .select(
+                "bucket",
+                F.col("lead.rid").alias("a"),
+                F.col("lead.sketch").alias("a_sketch"),
+                F.col("lead.root").alias("a_root"),
+            )
         )
         if chosen.isEmpty():
             break
-        open_buckets = placed.join(chosen, "bucket").where(F.col("root") != F.col("a_root"))
-        pairs = (
-            open_buckets.select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b"))
-            .distinct()
-            .join(checked, ["a", "b"], "left_anti")
-        )
-        pairs = stage(pairs)
-        found = stage(_verified(pairs, sets, threshold))
-        checked = checked.unionByName(pairs)
+        met = (F.col("root") != F.col("a_root")) & within_reach("sketch", "a_sketch", threshold)
+        pairs = stage(_pairs(placed, chosen, met).join(checked, ["a", "b"], "left_anti"))
         tried = tried.unionByName(chosen.select("bucket", F.col("a").alias("rid")))
+        slots *= MORE_LEADERS
+        if pairs.isEmpty():
+            continue
+        checked = checked.unionByName(pairs)
+        found = stage(_verified(pairs, sets, threshold))
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = stage(components(links))
-        slots *= 4
 
     placed = nodes.select("key_text", "key_check", F.col("least.rid").alias("node")).join(roots, "node", "left")
     classes = placed.select("key_text", "key_check", F.coalesce("root", "node").alias("class"))
