@@ -1,7 +1,7 @@
 """Removal of repeated passages by longest-previous-factor lengths over sampled suffixes.
 
 A byte goes if it lies in a string of ``length`` bytes that also starts elsewhere (``keep_first``: that also starts
-earlier, in the order of doc_id, text hash and place). In suffix order the suffixes that share their first ``length``
+earlier, in the order of the row keys and places). In suffix order the suffixes that share their first ``length``
 bytes are neighbours; the previous or next smaller position among them is an earlier match, so the longest previous
 factor at a position is at least ``length`` just where a smaller position has the same first ``length`` bytes. Only that
 question is asked, so the order is needed no deeper than ``length`` bytes, and the neighbours that share them are one
@@ -13,9 +13,11 @@ not listed one by one, which would multiply the text: they are handled in blocks
 * A block is a run of windows of one anchor. Its core, the bytes common to all windows of the block, must repeat if any
   window does; if its whole range repeats, every window does.
 * Blocks shrink by level, from all windows of an anchor to single windows. Blocks whose core is alone are settled as
-  unique, blocks whose whole range has a twin as repeated, and only cores that lie in different ranges go one level down.
+  unique, blocks whose whole range has a twin as repeated. Where a core lies in different ranges, one block of each
+  range goes one level down, the first: what it finds there its twins need not find again.
 
-What goes down is told to the next scan by a filter of fixed size; its false positives cost work and change nothing.
+What goes down is told to the next scan by two filters of fixed size, of cores and of blocks; their false positives cost
+work and change nothing.
 Groups are only counted and their least position taken, both combined before the shuffle, so a passage in a third of all
 documents costs no task more than another.
 
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodmart.llm.tables import KeyFilter, key_filter, row_key
-from moodmart.llm.texts import RangeHash, pieces
+from moodmart.llm.texts import RangeHash, mix, pieces
 from moodmart.session import stage
 
 LENGTH = 400
@@ -70,10 +72,13 @@ class Blocks:
     def __init__(self, length: int, gram: int, steps: list[int]):
         self.length, self.gram, self.steps = length, gram, steps
 
-    def of(self, data: np.ndarray, offsets: np.ndarray, filters: list[KeyFilter], exact: bool):
-        """Row, first and last start (offsets in the row), core hash and, if ``exact``, two hashes of the whole range."""
+    def of(
+        self, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, filters: list[tuple[KeyFilter, ...]], exact: bool
+    ):
+        """Row, first and last start (offsets in the row), core hash, name of the block and, if ``exact``, two hashes of
+        the whole range. ``keys`` are hashes that stand for the rows."""
         none = np.zeros(0, np.int64)
-        nothing = (none, none, none, *[none.view(np.uint64)] * 3)
+        nothing = (none, none, none, *[none.view(np.uint64)] * 4)
         if data.size < self.length:
             return nothing
         hashes = RangeHash(data)
@@ -92,9 +97,13 @@ class Blocks:
             last = np.append(begin[1:], starts.size) - 1
             edge = at[begin] - part[begin] * step
             core = hashes.of(edge, edge - step + 1 + self.length)
+            name = mix(keys[row[begin]] + (starts[begin] - offsets[row[begin]]).astype(np.uint64))
             if level == len(filters):
                 break
-            going = np.repeat(filters[level].may_hold(core), last - begin + 1)
+            going = filters[level][0].may_hold(core)
+            for only in filters[level][1:]:
+                going &= only.may_hold(name)
+            going = np.repeat(going, last - begin + 1)
             starts, at, row = starts[going], at[going], row[going]
             if not starts.size:
                 return nothing
@@ -105,21 +114,23 @@ class Blocks:
             # The start within the block belongs to the hash, so that equal ranges cover the same windows
             shift = (edge - low).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             first, second = hashes.of(low, high + self.length) + shift, again.of(low, high + self.length) ^ shift
-        return row, low - offsets[row], high - offsets[row], core, first, second
+        return row, low - offsets[row], high - offsets[row], core, name, first, second
 
 
-def _scan(docs: DataFrame, blocks: Blocks, filters: list[KeyFilter], exact: bool) -> DataFrame:
-    schema = "core bigint" + (", id bigint, text_id bigint, low int, high int, first bigint, second bigint" * exact)
+def _scan(docs: DataFrame, blocks: Blocks, filters: list[tuple[KeyFilter, ...]], exact: bool) -> DataFrame:
+    ranges = ", name bigint, id bigint, text_id bigint, low int, high int, first bigint, second bigint"
+    schema = "core bigint" + ranges * exact
     names = [part.split()[0] for part in schema.split(", ")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = (batch.column(name).to_numpy() for name in ("id", "text_id"))
-            for begin, _, data, offsets in pieces(batch.column("text")):
-                row, low, high, core, first, second = blocks.of(data, offsets, filters, exact)
+            keys = mix(ids.view(np.uint64) + mix(texts.view(np.uint64)))
+            for begin, end, data, offsets in pieces(batch.column("text")):
+                row, low, high, core, name, first, second = blocks.of(data, offsets, keys[begin:end], filters, exact)
                 columns = [core.view(np.int64)]
                 if exact:
-                    columns += [ids[begin + row], texts[begin + row], low.astype(np.int32), high.astype(np.int32)]
+                    columns += [name.view(np.int64), ids[begin + row], texts[begin + row], low.astype(np.int32), high.astype(np.int32)]
                     columns += [first.view(np.int64), second.view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=names)
 
@@ -139,7 +150,7 @@ def repeated_spans(
     keyed = docs.select(row_key().alias("key"), "text").select("key.id", F.col("key.text").alias("text_id"), "text")
     blocks = Blocks(length, gram, [width, middle, 1])
     cores = _scan(keyed, blocks, [], exact=False).groupBy("core").agg(F.count(F.lit(1)).alias("n"))
-    filters = [key_filter(stage(cores.where(F.col("n") > 1).select("core")), "core")]
+    filters: list[tuple[KeyFilter, ...]] = [(key_filter(stage(cores.where(F.col("n") > 1).select("core")), "core"),)]
     spans = None
     # The first filter is applied to the same level again, now with ranges; later ones to the next
     for level in range(3):
@@ -148,17 +159,19 @@ def repeated_spans(
         classes = stage(
             rows.groupBy(*same).agg(
                 F.count(F.lit(1)).alias("n"),
-                F.min(F.struct("id", "text_id", "low")).alias("least"),
+                F.min(F.struct("id", "text_id", "low", "name")).alias("least"),
             )
         )
         twins = rows.join(classes.where(F.col("n") > 1), same)
         if keep_first:
-            twins = twins.where(F.struct("id", "text_id", "low") != F.col("least"))
+            twins = twins.where(F.struct("id", "text_id", "low", "name") != F.col("least"))
         found = twins.select("id", "text_id", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
         spans = found if spans is None else spans.unionByName(found)
         if level < 2:
             split = classes.groupBy("core").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
-            filters = [*filters, key_filter(stage(split.select("core")), "core")]
+            split = stage(split.select("core"))
+            firsts = stage(classes.join(split, "core").select("least.name").distinct())
+            filters = [*filters, (key_filter(split, "core"), key_filter(firsts, "name"))]
     return spans
 
 
