@@ -16,8 +16,11 @@ _CLOCK_DAY_MONTH = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9] [0-9]{1,2} [a-z]+$"
 
 def wall_clock(moment: Column, zone: str = V.RUN_TIME_ZONE) -> Column:
     """An instant as the clock on the wall in ``zone`` shows it, to the second, without a zone."""
-    local = F.convert_timezone(F.current_timezone(), F.lit(zone), moment.cast("timestamp_ntz"))
-    return F.date_trunc("second", local).cast("timestamp_ntz")
+    # From UTC, where no hour is repeated; through the session's zone two instants could become one
+    micros = F.unix_micros(moment.cast("timestamp"))
+    seconds = F.floor(micros / F.lit(1_000_000)).cast("long")
+    in_utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), in_utc).cast("timestamp_ntz")
 
 
 def run_timestamp(zone: str = V.RUN_TIME_ZONE) -> Column:

@@ -33,8 +33,12 @@ def text_hash(text: Column) -> Column:
 
 
 def page_key(team: Column, page: Column, html: Column) -> Column:
-    """Key of a fetched page. Team and page are part of it: two teams' identical pages stay two rows."""
-    return text_hash(F.concat(team, F.lit("|"), page.cast("string"), F.lit("|"), html))
+    """Key of a fetched page. Team and page are part of it: two teams' identical pages stay two rows.
+
+    A part that is missing counts as empty, since a page without a key could be landed again and again.
+    """
+    parts = [F.coalesce(part, F.lit("")) for part in (team, page.cast("string"), html)]
+    return text_hash(F.concat(parts[0], F.lit("|"), parts[1], F.lit("|"), parts[2]))
 
 
 def article_key(team: Column, published: Column, title: Column) -> Column:

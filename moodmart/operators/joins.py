@@ -12,8 +12,8 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is split over several tasks
 ROWS_PER_TASK = 500_000
-# Tasks that rows without a key are spread over; they match nothing, so this copies nothing
-_NULL_TASKS = 1000
+# At most so many keys can hold a part in so many of all rows; these are known to every task
+_HOT_PARTS = 100_000
 
 _SALT, _TASKS, _ROWS = "_salt", "_tasks", "_rows"
 
@@ -42,19 +42,22 @@ def fits_broadcast(frame: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes:
     return measure(frame).fits(max_rows, max_bytes)
 
 
-def _hot_keys(rows: DataFrame, on: str, rows_per_task: int) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows, and the number of tasks each needs.
+def _hot_keys(rows: DataFrame, on: str, rows_per_task: int) -> tuple[DataFrame, int]:
+    """Keys with more rows than one task is to have, with the number of tasks each needs, and the tasks for no key.
 
-    Counts are combined before the shuffle, so finding a hot key does not suffer from it. A table of n rows has at most
-    n / rows_per_task such keys. Should that be too many to broadcast, only the hotter ones are split.
+    Counts are combined before the shuffle, so finding a hot key does not suffer from it. A key is hot from
+    ``rows_per_task`` rows on, or from a part in ``_HOT_PARTS`` of all rows if that is more. So there are at most
+    ``_HOT_PARTS`` hot keys, whatever the table's size, and no other key has more than that part of the rows: where it
+    is more than ``rows_per_task``, the table has so many rows that its tasks are larger anyway.
     """
-    counts = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias(_ROWS))
-    hot = settle(counts.where(F.col(_ROWS) > rows_per_task))
-    threshold = rows_per_task
-    while not fits_broadcast(hot):
-        threshold *= 10
-        hot = hot.where(F.col(_ROWS) > threshold)
-    return hot.select(on, F.ceil(F.col(_ROWS) / rows_per_task).cast("int").alias(_TASKS))
+    counts = settle(rows.groupBy(on).agg(F.count(F.lit(1)).alias(_ROWS)).where(F.col(_ROWS) > rows_per_task))
+    missing = counts.where(F.col(on).isNull()).agg(F.coalesce(F.sum(_ROWS), F.lit(0))).first()[0]
+    # Keys below rows_per_task are not in these counts, so the total is a lower bound, and so is the part
+    total = counts.agg(F.coalesce(F.sum(_ROWS), F.lit(0))).first()[0]
+    least = max(rows_per_task, total // _HOT_PARTS)
+    hot = counts.where(F.col(on).isNotNull() & (F.col(_ROWS) > least))
+    tasks = F.ceil(F.col(_ROWS) / rows_per_task).cast("int")
+    return hot.select(on, tasks.alias(_TASKS)), max(1, -(-missing // rows_per_task))
 
 
 def salted_join(
@@ -70,8 +73,10 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
-    hot = F.broadcast(_hot_keys(big, on, rows_per_task))
-    tasks = F.coalesce(_TASKS, F.when(F.col(on).isNull(), _NULL_TASKS), F.lit(1))
+    keys, for_none = _hot_keys(big, on, rows_per_task)
+    hot = F.broadcast(keys)
+    # Rows without a key match nothing, so spreading them copies nothing
+    tasks = F.coalesce(_TASKS, F.when(F.col(on).isNull(), for_none), F.lit(1))
     spread = big.join(hot, on, "left").select(
         *big.columns, F.pmod(F.xxhash64(*[F.col(name) for name in big.columns]), tasks).cast("int").alias(_SALT)
     )

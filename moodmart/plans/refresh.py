@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from moodmart import fixed_values as V
 from moodmart import schemas as S
 from moodmart.functions.dates import run_timestamp
+from moodmart.operators.joins import measure
 from moodmart.operators.merge import union_all, unmatched
 from moodmart.plans import bronze, gold, silver
 from moodmart.session import stage
@@ -120,19 +121,24 @@ def refresh_articles(
     found = silver.articles_from_pages(pages, **options)
     stored = in_months_of(found.keys, read_table(spark, warehouse.articles, _STORED_ARTICLES))
     merged = silver.merge_articles(stored, found)
-    merged = merged.withColumn("published_month", _month(F.col("publishedDate")))
     return {
-        "articles": write_table(
-            # splits large months over several files and gathers the small ones
-            merged.hint("rebalance", "published_month"),
-            warehouse.articles,
-            partition_by=["published_month"],
-            only_touched_partitions=True,
-        ),
+        "articles": store_articles(warehouse, merged),
         "rejected": _store_rejected(spark, warehouse, pages, found.rejected),
     }
 
 
+def store_articles(warehouse: Warehouse, articles: DataFrame) -> int:
+    """Replace the months of the given articles (``STORED_ARTICLES``)."""
+    dated = articles.select(*S.STORED_ARTICLES.fieldNames(), _month(F.col("publishedDate")).alias("published_month"))
+    return write_table(
+        # splits large months over several files and gathers the small ones
+        dated.hint("rebalance", "published_month"),
+        warehouse.articles,
+        partition_by=["published_month"],
+        only_touched_partitions=True,
+    )
+
+
 def _store_rejected(spark: SparkSession, warehouse: Warehouse, pages: DataFrame, rejected: DataFrame) -> int:
     """Replace what was rejected of the given pages. Only the days of these pages are read and written."""
     judged = stage(pages.select("_hashedId", F.to_date("_extractedDate").alias("extracted_date")).distinct())
@@ -169,8 +175,9 @@ def refresh_gold(
     headers = store("article", gold.article(articles, teams))
     store("dim_article", gold.dim_article(headers))
     reactions = store("reaction", gold.reaction(articles, teams))
-    reaction_facts = store("fact_reaction", gold.fact_reaction(reactions, sentiments, lexicon, band))
-    title_facts = store("fact_title", gold.fact_title(headers, sentiments, lexicon, band))
+    size = measure(lexicon)
+    reaction_facts = store("fact_reaction", gold.fact_reaction(reactions, sentiments, lexicon, band, size))
+    title_facts = store("fact_title", gold.fact_title(headers, sentiments, lexicon, band, size))
     store(V.TREND_TABLE_NAME, gold.sentiment_trend(reaction_facts, title_facts, sentiments, dates))
     return counts
 

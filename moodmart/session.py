@@ -1,5 +1,6 @@
 """Session settings the plans rely on, and the shared folder used to cut lineage."""
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -36,7 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         context.setCheckpointDir(configured)
         return configured
-    if not context.master.startswith("local"):
+    # local-cluster has executors of its own
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     own = tempfile.mkdtemp(prefix="moodmart-checkpoint-")
     context.setCheckpointDir(own)

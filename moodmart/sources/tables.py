@@ -1,12 +1,37 @@
 """Parquet tables: reading with a declared schema, replacing safely, and counting what is written."""
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+_NEW, _OLD = ".new-", ".old-"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and its path class: Spark has no writer that renames or deletes."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return where(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table with all its files; nothing happens if there is none."""
+    files, where = _file_system(spark, path)
+    files.delete(where(path), True)
+
+
+def _check_whole(spark: SparkSession, path: str) -> None:
+    """A table that is not there is empty only if no replacement of it was broken off, and an empty folder is no table."""
+    files, where = _file_system(spark, path)
+    if files.exists(where(path)):
+        if files.getFileStatus(where(path)).isDirectory() and not files.listStatus(where(path)):
+            raise ValueError(f"{path} is an empty folder, so a write to it was broken off")
+    elif files.globStatus(where(f"{path.rstrip('/')}{_OLD}*")):
+        raise ValueError(f"{path} was being replaced; its old rows are beside it")
+
 
 def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:
     """Only a path that is not there means an empty table; any other failure is raised, so it cannot erase history."""
@@ -20,6 +45,7 @@ def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table, with its columns in the schema's order; empty if it was never written."""
+    _check_whole(spark, path)
 
     def read() -> DataFrame:
         return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
@@ -28,52 +54,59 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_prefix(spark: SparkSession, root: str, prefix: str, schema: StructType) -> DataFrame:
-    """All Parquet files below ``root`` whose path starts with ``prefix``, as one table; empty if there are none."""
+    """All Parquet files below ``root`` whose path starts with ``prefix``, as one table; empty if there are none.
+
+    Folders named ``column=value`` give that column.
+    """
+    base = root.rstrip("/")
 
     def read() -> DataFrame:
-        reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-        return reader.parquet(f"{root.rstrip('/')}/{prefix}*")
+        reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("basePath", base)
+        return reader.parquet(f"{base}/{prefix}*").select(*schema.fieldNames())
 
     return _or_empty(spark, schema, read)
 
 
-def _reads_from(frame: DataFrame, path: str) -> bool:
-    def plain(name: str) -> str:
-        return "/" + name.split(":", 1)[-1].lstrip("/").rstrip("/")
-
-    target = plain(path)
-    return any(plain(name).startswith(target + "/") or plain(name) == target for name in frame.inputFiles())
-
-
 def write_table(
     frame: DataFrame, path: str, partition_by: Sequence[str] = (), only_touched_partitions: bool = False
 ) -> int:
     """Replace a table and return the number of rows written, counted during the write.
 
-    With ``only_touched_partitions`` the partitions that get no row are left as they are, and the frame may read the
-    table itself. A plain replacement deletes the old files first, so there a frame that reads them is refused.
+    With ``only_touched_partitions`` the partitions that get no row are left as they are. Otherwise the rows are written
+    beside the table, which is switched for them when they are all there: a write that fails leaves the table as it was.
+    Either way the frame may read the table itself.
     """
     if only_touched_partitions and not partition_by:
         raise ValueError("only a partitioned table can be replaced in part")
-    if not only_touched_partitions and _reads_from(frame, path):
-        raise ValueError(f"{path} is read by the rows to be written to it")
     counted = Observation()
     rows = frame.observe(counted, F.count(F.lit(1)).alias("num_records"))
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        mode = "dynamic" if only_touched_partitions else "static"
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
-    writer.parquet(path)
+    if only_touched_partitions:
+        writer = rows.write.mode("overwrite").partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
+        return counted.get["num_records"]
+    spark, target = frame.sparkSession, path.rstrip("/")
+    beside = f"{target}{_NEW}{uuid4().hex}"
+    try:
+        (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(beside)
+        _switch(spark, beside, target)
+    finally:
+        drop_table(spark, beside)
     return counted.get["num_records"]
 
 
-def record_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each table, as a table."""
-    counts = [
-        frame.agg(F.count(F.lit(1)).alias("num_records")).select(F.lit(name).alias("table_name"), "num_records")
-        for name, frame in tables.items()
-    ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+def _switch(spark: SparkSession, beside: str, target: str) -> None:
+    files, where = _file_system(spark, target)
+    old = f"{target}{_OLD}{uuid4().hex}"
+    had = files.exists(where(target))
+    if had and not files.rename(where(target), where(old)):
+        raise OSError(f"cannot move {target} aside")
+    if not files.rename(where(beside), where(target)):
+        if had:
+            files.rename(where(old), where(target))
+        raise OSError(f"cannot put {beside} in place")
+    files.delete(where(old), True)
+
+
+def record_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """The counts that :func:`write_table` returned, as a table; one row per table of a warehouse."""
+    return spark.createDataFrame(sorted(counts.items()), "table_name string, num_records long")

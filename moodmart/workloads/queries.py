@@ -1,6 +1,7 @@
 """One query per operator and job, each over whole test tables."""
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from moodmart.functions import html as H
 from moodmart.functions import labels as L
 from moodmart.functions import text as T
 from moodmart.operators import filters, merge, scoring
-from moodmart.plans import bronze, gold, silver
-from moodmart.session import stage
+from moodmart.operators.joins import measure
+from moodmart.plans import bronze, gold, refresh, silver
+from moodmart.session import ensure_checkpoint_dir, stage
 from moodmart.sources import feed, tables
 from moodmart.workloads import inputs as I
 
@@ -322,14 +324,14 @@ def fact_title(spark: SparkSession, folder: str) -> DataFrame:
     return gold.fact_title(headers, gold.dim_sentiment(spark), I.lexicon(spark))
 
 
-def _trend(spark: SparkSession, folder: str, iso_year: bool = False, legacy: bool = False) -> DataFrame:
+def _trend(spark: SparkSession, folder: str, iso_year: bool = False) -> DataFrame:
     # four readers, each of other columns, so the articles are written once
     articles = stage(I.articles(spark, folder))
     teams, sentiments, lexicon = gold.dim_team(articles), gold.dim_sentiment(spark), I.lexicon(spark)
-    reactions = gold.fact_reaction(gold.reaction(articles, teams), sentiments, lexicon)
-    titles = gold.fact_title(gold.article(articles, teams), sentiments, lexicon)
-    dates = gold.legacy_dim_date(articles) if legacy else gold.dim_date(articles, iso_year)
-    return gold.sentiment_trend(reactions, titles, sentiments, dates, legacy_date_fanout=legacy)
+    size = measure(lexicon)
+    reactions = gold.fact_reaction(gold.reaction(articles, teams), sentiments, lexicon, size=size)
+    titles = gold.fact_title(gold.article(articles, teams), sentiments, lexicon, size=size)
+    return gold.sentiment_trend(reactions, titles, sentiments, gold.dim_date(articles, iso_year))
 
 
 @_registered
@@ -360,25 +362,68 @@ def event_trend(spark: SparkSession, folder: str) -> DataFrame:
     return gold.trend_of(facts, gold.dim_sentiment(spark), dates)
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """A folder of the query's own in the shared place; what is stored there is removed once the result is stored."""
+    return f"{ensure_checkpoint_dir(spark)}/tables-{uuid4().hex}"
+
+
 @_registered
 def record_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every table of the star schema."""
-    articles = stage(I.articles(spark, folder))
-    teams, sentiments, lexicon = gold.dim_team(articles), gold.dim_sentiment(spark), I.lexicon(spark)
-    headers = gold.article(articles, teams)
-    reactions = gold.fact_reaction(gold.reaction(articles, teams), sentiments, lexicon)
-    titles = gold.fact_title(headers, sentiments, lexicon)
-    dates = gold.dim_date(articles)
-    return tables.record_counts(
-        {
-            "article": headers,
-            "dim_article": gold.dim_article(headers),
-            "dim_date": dates,
-            "dim_sentiment": sentiments,
-            "dim_team": teams,
-            "fact_reaction": reactions,
-            "fact_sentiment_trend": gold.sentiment_trend(reactions, titles, sentiments, dates),
-            "fact_title": titles,
-            "reaction": gold.reaction(articles, teams),
-        }
+    """Rows of every table of the star schema, counted while each was stored, for tables that read back as long."""
+    root = _own_folder(spark)
+    warehouse = refresh.Warehouse(root)
+    found = I.articles(spark, folder).withColumns(
+        {"_hashedId": F.col("id"), "_extractedDate": F.lit(I.FETCHED_AT).cast("timestamp_ntz"), "page": F.lit(1)}
+    )
+    refresh.store_articles(warehouse, found)
+    counts = refresh.refresh_gold(spark, warehouse, I.lexicon(spark))
+    back = {name: refresh.read_gold(spark, warehouse, name).count() for name in counts}
+    tables.drop_table(spark, root)
+    if back != counts:
+        raise ValueError(f"counted {counts} in writing and {back} in reading")
+    return tables.record_counts(spark, counts)
+
+
+@_registered
+def daily_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages landed on three days, each day's files read again with all others as one table."""
+    root = _own_folder(spark)
+    warehouse = refresh.Warehouse(root)
+    raw = I.raw_pages(spark, folder)
+    for place in range(3):
+        of_day = raw.where(F.pmod("page_id", F.lit(3)) == place).select("teamName", "page", "html")
+        refresh.land(spark, warehouse, of_day, F.lit(f"2025-01-{15 + place} 06:30:00"))
+    everything = tables.read_prefix(spark, f"{root}/bronze", warehouse.feed, refresh.LANDED)
+    result = stage(everything)
+    tables.drop_table(spark, root)
+    return result
+
+
+@_registered
+def roster_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages to fetch, for the teams of a JSON settings file."""
+    root = _own_folder(spark)
+    names = I.table(spark, folder, "documents").select("source").distinct()
+    # One setting per team
+    teams = names.agg(
+        F.map_from_entries(F.collect_list(F.struct("source", T.url_slug(F.col("source"))))).alias("teams")
     )
+    settings = F.to_json(F.struct(F.lit("x").alias("base_url"), F.lit(1).alias("nb_page"), "teams"))
+    teams.select(settings.alias("value")).coalesce(1).write.text(root)
+    result = stage(feed.page_list(feed.read_teams(spark, root)))
+    tables.drop_table(spark, root)
+    return result
+
+
+@_registered
+def incremental_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """Articles of pages fetched on three days and extracted in three runs, the latest day first."""
+    root = _own_folder(spark)
+    warehouse = refresh.Warehouse(root)
+    pages = stage(I.daily_dated_pages(spark, folder))
+    for place in (2, 0, 1):
+        day = pages.where(F.to_date("_extractedDate") == F.lit(f"2025-01-{15 + place}").cast("date"))
+        refresh.refresh_articles(spark, warehouse, day, selectors=I.DATED_PAGE)
+    result = stage(refresh.read_articles(spark, warehouse))
+    tables.drop_table(spark, root)
+    return result

@@ -67,7 +67,7 @@ def test_salted_join_spreads_a_hot_key_and_null_keys(spark, skewed):
 
 
 def test_only_hot_keys_are_copied(spark, skewed):
-    hot = {row["key"]: row["_tasks"] for row in joins._hot_keys(skewed, "key", 100).collect()}
+    hot = {row["key"]: row["_tasks"] for row in joins._hot_keys(skewed, "key", 100)[0].collect()}
     assert hot == {"hot": 10}
 
 
@@ -197,6 +197,31 @@ def test_scores_with_a_long_lexicon(spark, limits):
     assert found == {place: plain_score(text, weights) for place, text in enumerate(texts)}
 
 
+@pytest.mark.parametrize("weights", [(None, 1), (1, None), (101, 1), (1, -1)])
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}])
+def test_a_word_without_weights_in_range_is_an_error(spark, weights, limits):
+    lexicon = spark.createDataFrame([("good", 70, 60), ("odd", *weights)], scoring_schema())
+    texts = spark.createDataFrame([("good odd",)], "text string")
+    with pytest.raises(Exception, match="no weight in range in the lexicon: odd"):
+        scoring.score_texts(texts, "text", lexicon, **limits).collect()
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}])
+def test_upper_case_and_empty_words_of_a_lexicon(spark, limits):
+    """Texts are lower-cased and words are not, so a word in capitals is never met; an empty one is left out."""
+    lexicon = spark.createDataFrame([("good", 70, 60), ("BAD", -65, 40), ("", None, None)], scoring_schema())
+    texts = spark.createDataFrame([("Good BAD bad  ",), ("",), (None,)], "text string")
+    found = scoring.score_texts(texts, "text", lexicon, **limits)
+    assert ordered(found) == [("", 0.0, 0.0), ("Good BAD bad  ", 0.7, 0.6), (None, 0.0, 0.0)]
+
+
+def test_the_texts_stay_where_they_are_under_a_large_lexicon(spark):
+    lexicon = spark.createDataFrame([("good", 70, 60)], scoring_schema())
+    texts = spark.createDataFrame([(n, f"good {n}") for n in range(50)], "n long, text string")
+    plan = scoring.score_texts(texts, "text", lexicon, max_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_a_word_listed_twice_is_an_error(spark):
     lexicon = spark.createDataFrame([("good", 1, 1), ("good", 2, 2)], scoring_schema())
     texts = spark.createDataFrame([("good",)], "text string")

@@ -137,7 +137,8 @@ def plain_fields(html):
 
 def random_page(source):
     def words():
-        return " ".join(source.choices(["goal", "win &amp; draw", "&lt;3", "l'été", "<b>x</b>", "<i>y <em>z</em></i>"], k=source.randint(0, 3)))
+        return " ".join(source.choices(["goal", "win &amp; draw", "&lt;3", "l'été", "<b>x</b>", "<i>y <em>z</em></i>",
+            "2 < 3 > 1", "it&#8217;s", "&#x2014;&eacute;", "<img alt='a > b'>"], k=source.randint(0, 3)))
 
     def headline():
         title = source.choice(["", f"<span>{words()}</span>", f"<span class='q'>{words()} <span>{words()}</span></span>"])
@@ -156,8 +157,11 @@ def random_page(source):
         kind = source.choice([V.PARAGRAPH_CLASS, V.PARAGRAPH_CLASS, V.PARAGRAPH_CLASS + " z", "other"])
         return f'<p class="{kind}">{words()}</p>'
 
+    def inner_article():
+        return f'<article data-x="1 > 0">{paragraph()}{paragraph()}</article>'
+
     def block():
-        return source.choice([paragraph, paragraph, headline, lambda: f"<div><span>{words()}</span>{paragraph()}</div>"])()
+        return source.choice([paragraph, paragraph, headline, inner_article, lambda: f"<div><span>{words()}</span>{paragraph()}</div>"])()
 
     def article():
         return f'<article class="a">{"".join(block() for _ in range(source.randint(1, 7)))}</article>'

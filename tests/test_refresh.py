@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodmart import schemas as S
 from moodmart.plans import refresh as R
@@ -46,14 +47,32 @@ def test_write_counts_and_replaces(spark, tmp_path):
     assert values(tables.read_table(spark, path, S.DIM_TEAM)) == [(4, "4")]
 
 
-def test_a_table_is_not_replaced_by_rows_read_from_it(spark, tmp_path):
+def test_a_table_can_be_replaced_by_rows_read_from_it(spark, tmp_path):
+    path = str(tmp_path / "table")
+    tables.write_table(spark.createDataFrame([(1, "a"), (2, "b")], S.DIM_TEAM), path)
+    stored = tables.read_table(spark, path, S.DIM_TEAM)
+    assert tables.write_table(stored.where("team_id = 2"), path) == 1
+    assert values(tables.read_table(spark, path, S.DIM_TEAM)) == [(2, "b")]
+    assert [entry.name for entry in tmp_path.iterdir()] == ["table"]
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
     path = str(tmp_path / "table")
     tables.write_table(spark.createDataFrame([(1, "a")], S.DIM_TEAM), path)
+    broken = spark.range(1).select("id", F.raise_error(F.lit("lost")).cast("string").alias("team_name"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_table(broken.withColumnRenamed("id", "team_id"), path)
+    assert values(tables.read_table(spark, path, S.DIM_TEAM)) == [(1, "a")]
+    assert [entry.name for entry in tmp_path.iterdir()] == ["table"]
+
+
+def test_a_broken_replacement_is_no_empty_table(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError):
+        tables.read_table(spark, str(tmp_path / "empty"), S.DIM_TEAM)
+    (tmp_path / "table.old-1").mkdir()
     with pytest.raises(ValueError):
-        tables.write_table(tables.read_table(spark, path, S.DIM_TEAM), path)
-    assert tables.read_table(spark, path, S.DIM_TEAM).count() == 1
-    other = str(tmp_path / "table2")
-    assert tables.write_table(tables.read_table(spark, path, S.DIM_TEAM), other) == 1
+        tables.read_table(spark, str(tmp_path / "table"), S.DIM_TEAM)
 
 
 def test_only_touched_partitions_are_replaced(spark, tmp_path):
@@ -77,9 +96,16 @@ def test_prefix_reads_every_file_below_it(spark, tmp_path):
     assert [row[0] for row in values(found)] == [1, 2, 3]
 
 
+def test_prefix_keeps_the_partitions_columns(spark, tmp_path):
+    schema = S.with_column(S.DIM_TEAM, "day", T.DateType())
+    frame = spark.createDataFrame([(1, "a", DAY(2025, 1, 2)), (2, "b", DAY(2025, 1, 3))], schema)
+    frame.write.partitionBy("day").parquet(str(tmp_path / "bronze/news"))
+    found = tables.read_prefix(spark, str(tmp_path / "bronze"), "news", schema)
+    assert values(found) == [(1, "a", DAY(2025, 1, 2)), (2, "b", DAY(2025, 1, 3))]
+
+
 def test_record_counts(spark):
-    frames = {"a": spark.range(3), "b": spark.range(0)}
-    assert values(tables.record_counts(frames)) == [("a", 3), ("b", 0)]
+    assert values(tables.record_counts(spark, {"a": 3, "b": 0})) == [("a", 3), ("b", 0)]
 
 
 # --- feed -------------------------------------------------------------------------------------------------------------
@@ -157,6 +183,8 @@ def test_refresh(spark, tmp_path):
 
     again = R.refresh(spark, warehouse, first, lexicon, F.lit("2025-01-02 08:00:00"))
     assert again == counts
+    idle = R.refresh(spark, warehouse, first.where("false"), lexicon, F.lit("2025-01-04 08:00:00"))
+    assert idle == counts | {"pages": 0, "articles": 0, "rejected": 0}
 
     january = sorted(path.name for path in (tmp_path / "silver/epl_news/processed_data.parquet/published_month=2025-01").iterdir())
     R.land(spark, warehouse, second, F.lit("2025-01-03 06:00:00"))
@@ -192,6 +220,60 @@ def test_stream_gives_the_articles_of_the_batch_refresh(spark, tmp_path):
     assert idle.awaitTermination(120) and idle.lastProgress is None or idle.lastProgress["numInputRows"] == 0
 
 
+def landed_files(spark, warehouse, rows, reverse):
+    """One file per page, landed on one day; the order of the files' times is the order a stream takes them in."""
+    import os
+
+    raw = spark.createDataFrame(rows, S.RAW_PAGES)
+    R.land(spark, warehouse, raw.repartition(len(rows), "page"), F.lit("2025-01-02 06:00:00"))
+    day = next(path for path in os.scandir(warehouse.pages) if path.is_dir()).path
+    pages = [(row["page"], row["file"]) for row in spark.read.parquet(day).select("page", F.input_file_name().alias("file")).collect()]
+    for place, (_, name) in enumerate(sorted(pages, reverse=reverse)):
+        os.utime(name.removeprefix("file://"), (1_700_000_000 + 60 * place, 1_700_000_000 + 60 * place))
+
+
+SPLIT_DAY = [
+    ("Arsenal", 1, page("Late win", "22:46 30 December", "from page one")),
+    ("Arsenal", 2, page("Late win", "22:46 30 December", "from page two")),
+    ("Arsenal", 3, page("No date", None, "x")),
+    ("Arsenal", 4, page("No date either", None, "y")),
+    ("Arsenal", 5, page("Nor here", None, "z")),
+]
+
+
+@pytest.mark.parametrize("files_per_batch,reverse", [(1, False), (1, True), (2, False), (2, True), (1000, False)])
+def test_the_split_of_the_landed_files_does_not_matter(spark, tmp_path, files_per_batch, reverse):
+    streamed, batched = R.Warehouse(str(tmp_path / "s")), R.Warehouse(str(tmp_path / "b"))
+    for warehouse in (streamed, batched):
+        landed_files(spark, warehouse, SPLIT_DAY, reverse)
+    query = refresh_new_articles(spark, streamed, str(tmp_path / "progress"), files_per_batch)
+    assert query.awaitTermination(300)
+    R.refresh_articles(spark, batched)
+    read = lambda warehouse: spark.read.parquet(warehouse.rejected).select(*S.REJECTED.fieldNames())
+    assert values(read(streamed)) == values(read(batched)) and read(batched).count() == 3
+    assert values(R.read_articles(spark, streamed)) == values(R.read_articles(spark, batched))
+    assert R.read_articles(spark, streamed).first()["content"] == "from page one"
+
+
+def test_a_page_that_gets_its_key_later_is_no_longer_rejected(spark, tmp_path):
+    from moodmart.functions.html import PageSelectors
+
+    warehouse = R.Warehouse(str(tmp_path))
+    raw = spark.createDataFrame([("Arsenal", 1, page("Late win", "22:46 30 December", "x"))], S.RAW_PAGES)
+    R.land(spark, warehouse, raw, F.lit("2025-01-02 06:00:00"))
+    assert R.refresh_articles(spark, warehouse, selectors=PageSelectors(timestamp_testid="wrong"))["rejected"] == 1
+    assert R.refresh_articles(spark, warehouse) == {"articles": 1, "rejected": 0}
+    assert spark.read.schema(S.REJECTED).parquet(warehouse.rejected).count() == 0
+
+
+def test_a_page_without_markup_is_landed_once(spark, tmp_path):
+    warehouse = R.Warehouse(str(tmp_path))
+    raw = spark.createDataFrame([("Arsenal", 1, None), (None, None, "x")], S.RAW_PAGES)
+    for _ in range(2):
+        assert R.land(spark, warehouse, raw, F.lit("2025-01-02 06:00:00")) == 2
+    assert R.read_pages(spark, warehouse).count() == 2
+
+
 def test_legacy_failed_pages_only(spark):
     first, _, _ = frames(spark)
     pages = first.select(
@@ -210,7 +292,7 @@ def test_trend_invariants(spark):
     folder = "/root/testdata/sf0.001"
     trend = QUERIES["sentiment_trend"](spark, folder).collect()
     counts = {row["table_name"]: row["num_records"] for row in QUERIES["record_counts"](spark, folder).collect()}
-    assert len({row["trend_id"] for row in trend}) == len(trend) == counts["fact_sentiment_trend"]
+    assert len({row["trend_id"] for row in trend}) == len(trend) == counts["df_fact_sentiment_trend"]
     assert sum(row["total_articles"] for row in trend) == counts["fact_reaction"] + counts["fact_title"]
     for row in trend:
         positive, negative = row["total_positive_articles"], row["total_negative_articles"]

@@ -93,6 +93,32 @@ PAGES = {
         "<P class='ssrcss-1q0x1qg-Paragraph e1jhz7w10'>a</P></ARTICLE>",
         ("d", "T", "a"),
     ),
+    "signs that are no tags": (
+        f"<article>{headline('T', 'd')}{PARAGRAPH}2 < 3 and 5 > 4 end</p>{PARAGRAPH}I <3 this club, <b>truly</b> yes</p>"
+        f"{PARAGRAPH}a<img alt=\"x > y\">b<br/>c</p></article>",
+        ("d", "T", "2 < 3 and 5 > 4 end I <3 this club, truly yes abc"),
+    ),
+    "a sign inside an attribute of the tags looked for": (
+        f"<article data-x='a > b'>{headline('T', 'd')}<p data-y=\"1 > 0\" class='ssrcss-1q0x1qg-Paragraph e1jhz7w10'>a</p></article>",
+        ("d", "T", "a"),
+    ),
+    "numeric and further named references": (
+        f"<article>{headline('T', 'd')}{PARAGRAPH}it&#8217;s caf&eacute; &#x1F600; &#0; &#xD800; &#99999999; &unknown; &#x; &a</p></article>",
+        ("d", "T", "it’s café \U0001F600 \ufffd \ufffd \ufffd &unknown; &#x; &a"),
+    ),
+    "open paragraphs": (
+        f"<article>{headline('T', 'd')}{PARAGRAPH}one{PARAGRAPH}two</p>{PARAGRAPH}three</article>{PARAGRAPH}no</p>",
+        ("d", "T", "one two three"),
+    ),
+    "an article in an article": (
+        f"<article>{headline('T', 'd')}{PARAGRAPH}one</p><article>{PARAGRAPH}in</p></article>{PARAGRAPH}three</p></article>{PARAGRAPH}no</p>",
+        ("d", "T", "one in three"),
+    ),
+    "an article before the headline in its article": (
+        f"<article>{PARAGRAPH}no</p></article><article>{PARAGRAPH}one</p><article>{PARAGRAPH}in</p></article>"
+        f"{headline('T', 'd')}{PARAGRAPH}three</p></article>",
+        ("d", "T", "one in three"),
+    ),
     "empty": ("", ("No date found", "No title found", "No content found")),
 }
 
