@@ -124,6 +124,12 @@ def html_fields(spark: SparkSession, folder: str) -> DataFrame:
     return H.with_page_fields(pages, "html", I.PLAIN_PAGE).drop("html")
 
 
+@_registered
+def html_fields_default(spark: SparkSession, folder: str) -> DataFrame:
+    """The default selectors, over every page written in the markup they look for."""
+    return H.with_page_fields(I.default_pages(spark, folder), "html").drop("html")
+
+
 @_registered
 def published_date(spark: SparkSession, folder: str) -> DataFrame:
     """Order dates written as page timestamps, every tenth malformed, fetched up to 500 days later."""
