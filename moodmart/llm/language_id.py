@@ -132,14 +132,14 @@ def bounded_counts(counts: DataFrame, max_grams: int) -> pd.DataFrame:
     counts = stage(counts)
     levels = counts.groupBy("lang", F.least("n", F.lit(1000)).alias("level")).agg(F.count(F.lit(1)).alias("kinds"))
     floors = {}
-    for lang, of_lang in levels.toPandas().groupby("lang"):
+    for lang, of_lang in levels.toArrow().to_pandas().groupby("lang"):
         of_lang = of_lang.sort_values("level", ascending=False)
         fits = of_lang["kinds"].cumsum() <= max_grams
         floors[lang] = int(of_lang["level"][fits].min()) if fits.any() else 1001
     if not floors:
         return pd.DataFrame({"lang": [], "gram": [], "n": []})
     floor = F.create_map(*[F.lit(x) for pair in floors.items() for x in pair])[F.col("lang")]
-    return counts.where(F.col("n") >= floor).toPandas()
+    return counts.where(F.col("n") >= floor).toArrow().to_pandas()
 
 
 class SortedHashes:
