@@ -315,7 +315,7 @@ def near_duplicates(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"),
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid")).alias("stays"),
     )
-    result = classed.join(summary, "class").select(
+    result = dimension_join(classed, stage(summary), "class").select(
         "rid",
         "doc_id",
         F.struct(F.col("key_id").alias("id"), F.col("key_text").alias("text"), F.col("key_check").alias("check")).alias(
