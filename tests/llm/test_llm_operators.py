@@ -135,7 +135,8 @@ def test_repeats_of_random_pieces(spark):
 
 
 def test_the_first_copy_is_kept(spark):
-    passage = "".join(random.Random(1).choice("abcdefghij") for _ in range(900))
+    chance = random.Random(1)
+    passage = "".join(chance.choice("abcdefghij") for _ in range(900))
     docs = spark.createDataFrame([(n, f"{n}{n}{n}" + passage) for n in range(5)], "doc_id long, text string")
     found = {row["doc_id"]: row["n_removed"] for row in longest_previous.without_repeats(docs, keep_first=True).collect()}
     assert sorted(found.values()) == [0, 900, 900, 900, 900]
