@@ -14,7 +14,7 @@ not listed one by one, which would multiply the text: they are handled in blocks
   window does; if its whole range repeats, every window does.
 * Blocks shrink by level, from all windows of an anchor to single windows. Blocks whose core is alone are settled as
   unique, blocks whose whole range has a twin as repeated. Where a core lies in different ranges, one block of each
-  range goes one level down, the first: what it finds there its twins need not find again.
+  range goes one level down: what it finds there its twins need not find again.
 
 What goes down is told to the next scan by two filters of fixed size, of cores and of blocks; their false positives cost
 work and change nothing.
@@ -155,16 +155,17 @@ def repeated_spans(
     # The first filter is applied to the same level again, now with ranges; later ones to the next
     for level in range(3):
         rows = stage(_scan(keyed, _at_level(blocks, level), filters, exact=True))
-        same = ["core", "first", "second"]
+        same = ["first", "second"]
+        # Equal ranges have equal cores. Any block of a range may stand for it, unless the first is asked for
+        order = F.struct("id", "text_id", "low", "name") if keep_first else F.struct("name")
         classes = stage(
             rows.groupBy(*same).agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min(F.struct("id", "text_id", "low", "name")).alias("least"),
+                F.count(F.lit(1)).alias("n"), F.first("core").alias("core"), F.min(order).alias("least")
             )
         )
-        twins = rows.join(classes.where(F.col("n") > 1), same)
+        twins = rows.drop("core").join(classes.where(F.col("n") > 1), same)
         if keep_first:
-            twins = twins.where(F.struct("id", "text_id", "low", "name") != F.col("least"))
+            twins = twins.where(order != F.col("least"))
         found = twins.select("id", "text_id", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
         spans = found if spans is None else spans.unionByName(found)
         if level < 2:
