@@ -53,15 +53,19 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return _or_empty(spark, schema, read)
 
 
-def read_prefix(spark: SparkSession, root: str, prefix: str, schema: StructType) -> DataFrame:
+def read_prefix(
+    spark: SparkSession, root: str, prefix: str, schema: StructType, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """All Parquet files below ``root`` whose path starts with ``prefix``, as one table; empty if there are none.
 
-    Folders named ``column=value`` give that column.
+    With ``partition_by`` these columns of the schema come from folders named ``column=value``, and filters on them are
+    kept from listing other folders; the files then lie in such folders only. Otherwise folders of any names are read.
     """
     base = root.rstrip("/")
 
     def read() -> DataFrame:
-        reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("basePath", base)
+        reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+        reader = reader.option("basePath", base) if partition_by else reader.option("recursiveFileLookup", "true")
         return reader.parquet(f"{base}/{prefix}*").select(*schema.fieldNames())
 
     return _or_empty(spark, schema, read)

@@ -399,7 +399,7 @@ def daily_files(spark: SparkSession, folder: str) -> DataFrame:
     for place in range(3):
         of_day = raw.where(F.pmod("page_id", F.lit(3)) == place).select("teamName", "page", "html")
         refresh.land(spark, warehouse, of_day, F.lit(f"2025-01-{15 + place} 06:30:00"))
-    everything = tables.read_prefix(spark, f"{root}/bronze", warehouse.feed, refresh.LANDED)
+    everything = tables.read_prefix(spark, f"{root}/bronze", warehouse.feed, refresh.LANDED, ["extracted_date"])
     result = stage(everything)
     tables.drop_table(spark, root)
     return result

@@ -100,7 +100,7 @@ def test_prefix_keeps_the_partitions_columns(spark, tmp_path):
     schema = S.with_column(S.DIM_TEAM, "day", T.DateType())
     frame = spark.createDataFrame([(1, "a", DAY(2025, 1, 2)), (2, "b", DAY(2025, 1, 3))], schema)
     frame.write.partitionBy("day").parquet(str(tmp_path / "bronze/news"))
-    found = tables.read_prefix(spark, str(tmp_path / "bronze"), "news", schema)
+    found = tables.read_prefix(spark, str(tmp_path / "bronze"), "news", schema, ["day"])
     assert values(found) == [(1, "a", DAY(2025, 1, 2)), (2, "b", DAY(2025, 1, 3))]
 
 
