@@ -42,7 +42,7 @@ BANDS = 25
 ROWS_PER_BAND = 5
 SKETCH_WORDS = 8
 # Leaders per bucket in each round: one, then so many times more
-MORE_LEADERS = 16
+MORE_LEADERS = 256
 
 SKETCH = tuple(f"s{place}" for place in range(SKETCH_WORDS))
 
@@ -274,13 +274,16 @@ def near_duplicates(
     links = stage(_verified(checked, sets, threshold))
     roots = stage(components(links))
     tried = leaders.select("bucket", F.col("a").alias("rid"))
+    # The classes of the first round stand for all later ones: older classes only mean more pairs, and the links found on
+    # the way are joined up once, at the end
+    placed = buckets.join(roots.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
+        "root", F.coalesce("root", "rid")
+    )
+    main = placed.groupBy("bucket").agg(F.max(F.struct("company", "rid", "root")).alias("main"))
+    placed = stage(placed.join(main.select("bucket", "main.root").withColumnRenamed("root", "main"), "bucket"))
+    first_links = links
     slots = 1
     while True:
-        placed = buckets.join(roots.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
-            "root", F.coalesce("root", "rid")
-        )
-        main = placed.groupBy("bucket").agg(F.max(F.struct("company", "rid", "root")).alias("main"))
-        placed = stage(placed.join(main.select("bucket", "main.root").withColumnRenamed("root", "main"), "bucket"))
         apart = placed.where(F.col("root") != F.col("main")).join(tried, ["bucket", "rid"], "left_anti")
         chosen = stage(
             apart.groupBy("bucket", F.pmod(F.xxhash64("rid"), F.lit(slots)).alias("slot"))
@@ -304,7 +307,8 @@ def near_duplicates(
         found = stage(_verified(pairs, sets, threshold))
         if not found.isEmpty():
             links = links.unionByName(found)
-            roots = stage(components(links))
+    if links is not first_links:
+        roots = stage(components(links))
 
     placed = nodes.select("key_text", "key_check", F.col("least.rid").alias("node")).join(roots, "node", "left")
     classes = placed.select("key_text", "key_check", F.coalesce("root", "node").alias("class"))
