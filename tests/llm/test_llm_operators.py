@@ -245,6 +245,27 @@ def test_language_of_awkward_rows(awkward):
     assert language_id.accepted(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("table", ["given", "awkward"])
+def test_dealt_models_give_what_gathered_ones_do(table, request):
+    docs, _ = request.getfixturevalue(table)
+    names = ("doc_id", "held_out", "lang_pred", "score", "n", "entropy", "rejected")
+    assert rows(language_id.identify(docs, 0), *names) == rows(language_id.identify(docs), *names)
+
+
+def test_rare_grams_of_large_alphabets_are_learned(spark):
+    """Over 300,000 different n-grams per language, almost all of them seen once."""
+    chance = np.random.default_rng(8)
+    alphabets = {"aa": (0x4E00, 0x6E00), "bb": (0x6E00, 0x8E00)}
+    made = [
+        (n, "".join(map(chr, chance.integers(*alphabets[lang], 4000))), lang, "s", 4000)
+        for n, lang in enumerate(["aa", "bb"] * 105)
+    ]
+    found = language_id.identify(spark.createDataFrame(made, SCHEMA).repartition(4)).collect()
+    langs = {row[0]: row[2] for row in made}
+    assert len(found) == len(made)
+    assert all(row["lang_pred"] == langs[row["doc_id"]] for row in found)
+
+
 def test_foreign_text_is_rejected(spark):
     docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
     strange = spark.createDataFrame([(-5, "zqx jkvw qqzx " * 40, None, "s", 1)], SCHEMA)
