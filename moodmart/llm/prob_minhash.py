@@ -43,6 +43,8 @@ ROWS_PER_BAND = 5
 SKETCH_WORDS = 8
 # Leaders per bucket in each round: one, then so many times more
 MORE_LEADERS = 256
+# Rounding must not lose a pair on the threshold
+SLACK = 1e-9
 
 SKETCH = tuple(f"s{place}" for place in range(SKETCH_WORDS))
 
@@ -161,7 +163,7 @@ def within_reach(a: str, b: str, threshold: float) -> Column:
     totals = [F.col(f"{name}.total") for name in (a, b)]
     plain = F.col(f"{a}.plain") & F.col(f"{b}.plain")
     both = F.when(plain, totals[0] + totals[1]).otherwise(2 * F.greatest(*totals))
-    return both - apart >= F.lit(threshold - 1e-9) * (both + apart)
+    return both - apart >= F.lit(threshold - SLACK) * (both + apart)
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -199,7 +201,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 )
                 for i in range(batch.num_rows)
             ]
-            keep = np.flatnonzero(np.array(values) >= threshold)
+            keep = np.flatnonzero(np.array(values) >= threshold - SLACK)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").take(keep), batch.column("b").take(keep), pa.array(np.array(values)[keep])],
                 names=["a", "b", "similarity"],

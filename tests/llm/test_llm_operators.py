@@ -178,6 +178,16 @@ def test_near_duplicates(table, request):
     assert kept.count() == sum(row["first"] for row in found) == len({row["key"] for row in found if row["first"]})
 
 
+def test_pairs_on_the_threshold_are_near_duplicates(spark):
+    """12 of 15 shingles shared, and larger sets at the same similarity: exactly 0.8."""
+    for k in (3, 4, 13):
+        own = [f"w{n}" for n in range(5 * k + 4)]
+        made = [(1, " ".join(own[: 4 * k + 4])), (2, " ".join(own))]
+        result, links = prob_minhash.near_duplicates(spark.createDataFrame(made, "doc_id long, text string"))
+        assert links.count() == 1
+        assert rows(result, "doc_id", "class_id", "class_size") == expected(plain.classes(made)) == [(1, 1, 2), (2, 1, 2)]
+
+
 def test_a_group_whose_members_are_not_all_alike(spark):
     """A chain: neighbours are alike, the ends are not, so the least member does not see all of its class."""
     own = [f"w{n}" for n in range(200)]
