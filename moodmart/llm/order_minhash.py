@@ -1,6 +1,7 @@
 """Order MinHash fingerprints of documents, in column expressions only.
 
-A text's k-mers are runs of ``K`` tokens (a text of fewer tokens is one k-mer); each is numbered by its occurrence, so
+A text's k-mers are runs of ``K`` tokens (a text of fewer tokens is taken as its characters, and one of fewer
+characters is one k-mer); each is numbered by its occurrence, so
 that the pairs (k-mer, occurrence) are all different. A hash of the pair deals it to one of ``BUCKETS`` buckets and
 orders it there; the least ``TUPLE`` pairs of each bucket are kept, put back into the order of the text, and hashed as a
 tuple. Equal tuples need equal k-mers in equal order, which is what makes the signature sensitive to edit distance
@@ -9,8 +10,8 @@ where plain MinHash only sees which k-mers there are.
 Everything happens in arrays of 64-bit numbers within a row: 33 bits of hash above 30 bits of place, so that sorting
 them is sorting numbers. A text has fewer than 2^30 tokens, as Spark's strings have fewer than 2^31 bytes.
 
-Rules: tokens are runs of letters and digits, single characters from U+2E80 on, and runs of ASCII punctuation. A null
-text counts as empty. A text without tokens has an empty fingerprint, which is like another empty one (1) and unlike
+Rules: tokens are runs of at most ``RUN_CHARS`` letters and digits, the single characters of longer runs, of scripts
+without spaces and from U+2E80 on, and runs of ASCII punctuation. A null text counts as empty. A text without tokens has an empty fingerprint, which is like another empty one (1) and unlike
 any other (0). Only doc_id and text are read. Rows equal in both are one document in the order of documents; documents
 with one identifier follow each other by the hash of their texts, those without identifier come last.
 """
@@ -26,7 +27,14 @@ from moodmart.session import stage
 K = 3
 TUPLE = 2
 BUCKET_BITS = 6
-TOKEN = r"[0-9A-Za-z\x{80}-\x{2E7F}]++|[\x{2E80}-\x{10FFFF}]|[!-/:-@\[-`{-~]++"
+# Longer runs are split into characters, as are scripts written without spaces (Thai, Lao, Tibetan, Burmese, Khmer, Tai
+# and Balinese below U+2E80)
+RUN_CHARS = 24
+_RUN = (
+    r"0-9A-Za-z\x{80}-\x{DFF}\x{10A0}-\x{177F}\x{1800}-\x{194F}\x{1A00}-\x{1A1F}\x{1AB0}-\x{1AFF}\x{1B80}-\x{2E7F}"
+)
+TOKEN = rf"(?<![{_RUN}])[{_RUN}]{{1,{RUN_CHARS}}}+(?![{_RUN}])|[0-9A-Za-z\x{{80}}-\x{{10FFFF}}]|[!-/:-@\[-`{{-~]++"
+CHARACTER = r"[!-~\x{80}-\x{10FFFF}]"
 
 _PLACE_BITS, _HASH_BITS = 30, 33
 _PLACE = (1 << _PLACE_BITS) - 1
@@ -51,6 +59,8 @@ def with_signature(frame: DataFrame, text: str, name: str, k: int = K, width: in
     kept = [column for column in frame.columns]
     words, grams, size = F.col("_words"), F.col("_grams"), F.size("_grams")
     step = frame.select(*kept, F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)).alias("_words"))
+    characters = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CHARACTER), F.lit(0))
+    step = step.select(*kept, F.when(F.size(words) < k, characters).otherwise(words).alias("_words"))
     step = step.select(
         *kept,
         F.when(

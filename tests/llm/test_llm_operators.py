@@ -349,6 +349,22 @@ def test_fingerprints_of_awkward_rows(awkward):
     assert all(0 <= row["near_edited"] <= 1 and 0 <= row["near_next"] <= 1 for row in found)
 
 
+def test_texts_without_spaces_keep_most_of_their_fingerprint(spark):
+    """Thai, a long run of letters and digits, and two words: a last quarter replaced leaves most k-mers."""
+    chance = random.Random(6)
+    thai, run = ("".join(chance.choice(alphabet) for _ in range(400)) for alphabet in (range_of(0xE01, 0xE2E), "abcdefghij0123456789"))
+    words = "extraordinarily incomprehensible"
+    made = [(n, text, text[: 3 * len(text) // 4] + "z" * (len(text) // 4)) for n, text in enumerate((thai, run, words))]
+    frame = spark.createDataFrame(made, "n int, a string, b string")
+    signed = order_minhash.with_signature(order_minhash.with_signature(frame, "a", "s"), "b", "t")
+    found = {row["n"]: row["near"] for row in signed.select("n", order_minhash.likeness("s", "t").alias("near")).collect()}
+    assert min(found.values()) > 0.2
+
+
+def range_of(first, last):
+    return "".join(map(chr, range(first, last)))
+
+
 def test_signatures_against_plain_python(spark):
     """Buckets, occurrences and order, with Spark's own hash asked for each value."""
     chance = random.Random(4)
