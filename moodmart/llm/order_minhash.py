@@ -7,6 +7,10 @@ orders it there; the least ``TUPLE`` pairs of each bucket are kept, put back int
 tuple. Equal tuples need equal k-mers in equal order, which is what makes the signature sensitive to edit distance
 where plain MinHash only sees which k-mers there are.
 
+A bucket with fewer pairs would hold no order. In a ``dense`` signature it takes the least ``TUPLE`` of all pairs of the
+text under a hash seeded with the bucket instead, as Order MinHash does for every hash function. So every bucket of a
+text that has tokens is filled, and short texts are compared by order too.
+
 Everything happens in arrays of 64-bit numbers within a row: 33 bits of hash above 30 bits of place, so that sorting
 them is sorting numbers. A text has fewer than 2^30 tokens, as Spark's strings have fewer than 2^31 bytes.
 
@@ -51,7 +55,9 @@ def _place(packed: Column) -> Column:
     return packed.bitwiseAND(F.lit(_PLACE)).cast("int")
 
 
-def with_signature(frame: DataFrame, text: str, name: str, k: int = K, width: int = TUPLE) -> DataFrame:
+def with_signature(
+    frame: DataFrame, text: str, name: str, k: int = K, width: int = TUPLE, dense: bool = False
+) -> DataFrame:
     """Adds ``name``, the signature of ``text``: per filled bucket the bucket and its tuple's hash in one int, sorted.
 
     One select per step: a step that is used several times by the next stays a column and is computed once.
@@ -126,6 +132,7 @@ def with_signature(frame: DataFrame, text: str, name: str, k: int = K, width: in
     step = step.select(
         *kept,
         "_grams",
+        "_pairs",
         F.sort_array(
             F.transform(
                 least, lambda x: F.shiftleft(F.shiftright(x, _BUCKET_SHIFT), _PLACE_BITS).bitwiseOR(x.bitwiseAND(F.lit(_PLACE)))
@@ -143,9 +150,30 @@ def with_signature(frame: DataFrame, text: str, name: str, k: int = K, width: in
         hashed = F.xxhash64(F.transform(own, lambda y: F.get(grams, _place(y))))
         value = F.shiftleft(bucket(x), _CODE_BITS).bitwiseOR(hashed.bitwiseAND(F.lit((1 << _CODE_BITS) - 1)))
         ends = F.coalesce(bucket(F.get(chosen, i + 1)) != bucket(x), F.lit(True))
-        return F.when(ends, value.cast("int"))
+        return F.when(ends & (F.size(own) == width) if dense else ends, value.cast("int"))
+
+    step = step.select(*kept, "_grams", "_pairs", F.array_compact(F.transform(chosen, code)).alias(name))
+    if not dense:
+        return step.select(*kept, name)
+    buckets = F.sequence(F.lit(0), F.lit((1 << BUCKET_BITS) - 1))
+    step = step.select(
+        "*",
+        F.when(
+            size > 0, F.array_except(buckets, F.transform(name, lambda x: F.shiftright(x, _CODE_BITS)))
+        ).otherwise(F.array().cast("array<int>")).alias("_sparse"),
+    )
+
+    def seeded(b: Column) -> Column:
+        """The bucket and the hash of the k-mers, in text order, that are least under the bucket's own hash."""
+        drawn = F.sort_array(
+            F.transform(F.col("_pairs"), lambda x: _packed(F.xxhash64(F.shiftright(x, _PLACE_BITS), b), _place(x)))
+        )
+        places = F.sort_array(F.transform(F.slice(drawn, 1, width), _place))
+        hashed = F.xxhash64(F.transform(places, lambda p: F.get(grams, p)))
+        value = F.shiftleft(b.cast("long"), _CODE_BITS).bitwiseOR(hashed.bitwiseAND(F.lit((1 << _CODE_BITS) - 1)))
+        return value.cast("int")
 
-    return step.select(*kept, F.array_compact(F.transform(chosen, code)).alias(name))
+    return step.select(*kept, F.sort_array(F.concat(name, F.transform("_sparse", seeded))).alias(name))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -212,7 +240,9 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_chars, edited_sha256, both fingerprints, near_edited, near_next."""
     pairs = edited_pairs(docs).withColumn("edited_sha256", F.sha2("edited", 256))
-    signed = with_signature(with_signature(pairs, "text", "signature"), "edited", "edited_signature").drop("text", "edited")
+    signed = with_signature(
+        with_signature(pairs, "text", "signature", dense=True), "edited", "edited_signature", dense=True
+    ).drop("text", "edited")
     signed = stage(signed)
     following = signed.select(F.col("key").alias("next"), F.col("signature").alias("next_signature")).dropDuplicates(["next"])
     return signed.join(following, "next").select(

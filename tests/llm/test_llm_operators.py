@@ -361,6 +361,27 @@ def test_texts_without_spaces_keep_most_of_their_fingerprint(spark):
     assert min(found.values()) > 0.2
 
 
+def test_short_texts_with_swapped_blocks_are_less_alike(spark):
+    """The same k-mers but for two seams; half of all pairs of k-mers change their order."""
+    chance = random.Random(9)
+    made = []
+    for n in range(20):
+        blocks = [" ".join(f"{chance.randrange(10**6)}" for _ in range(25)) for _ in range(2)]
+        made.append((n, " ".join(blocks), " ".join(blocks[::-1])))
+    made.append((20, "one two three", "one two three"))
+    frame = spark.createDataFrame(made, "n int, a string, b string")
+    signed = order_minhash.with_signature(order_minhash.with_signature(frame, "a", "s", dense=True), "b", "t", dense=True)
+    found = {row["n"]: row for row in signed.withColumn("near", order_minhash.likeness("s", "t")).collect()}
+    assert {len(row["s"]) for row in found.values()} == {1 << order_minhash.BUCKET_BITS}
+    assert found.pop(20)["near"] == 1
+    # (46 / 50)^2 of the pairs of k-mers are shared, about half of them in equal order
+    assert 0.3 < np.mean([row["near"] for row in found.values()]) < 0.55
+    flat = [(2 * n + side, text) for n, *pair in made[:20] for side, text in enumerate(pair)]
+    printed = order_minhash.fingerprints(spark.createDataFrame(flat, "doc_id long, text string"))
+    likes = [row["near_next"] for row in printed.collect() if row["doc_id"] % 2 == 0]
+    assert len(likes) == 20 and np.mean(likes) < 0.55
+
+
 def range_of(first, last):
     return "".join(map(chr, range(first, last)))
 
