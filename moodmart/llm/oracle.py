@@ -131,9 +131,32 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
 FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+# Every run of 13 words, with the least document that holds it
+SUBSTRING_DEDUP = r"""
+WITH split AS (
+    SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), windows AS (
+    SELECT doc, doc_id, place, array_to_string(words[place:place + 12], ' ') AS run
+    FROM (SELECT *, unnest(range(1, len(words) - 11)) AS place FROM split WHERE len(words) >= 13)
+), earliest AS (SELECT run, min(doc_id) AS first_id FROM windows GROUP BY run),
+gone AS (
+    SELECT DISTINCT doc, unnest(range(place, place + 13)) AS place FROM windows JOIN earliest USING (run) WHERE first_id < doc_id
+), listed AS (
+    SELECT doc, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split
+), kept AS (
+    SELECT doc, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+    FROM listed ANTI JOIN gone USING (doc, place) GROUP BY doc
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc)
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_licenses": LICENSES,
     "op5_token_counts": TOKEN_COUNTS,
     "op7_decontaminate": DECONTAMINATE,
+    "op12_substring_dedup": SUBSTRING_DEDUP,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodmart.llm import (
+    conversation_repair,
     decontaminate,
     language_id,
     licenses,
@@ -17,11 +18,16 @@ from moodmart.llm import (
     order_minhash,
     prob_minhash,
     secrets,
+    token_alignment,
+    word_graph,
 )
 from moodmart.llm.tables import read
 from moodmart.llm.token_counts import Rollup
 from moodmart.session import ensure_checkpoint_dir
 
+# Vocabulary files of public tokenizers; the driver reads them
+TOKENIZERS = "/opt/tokenizers"
+
 
 def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(line_dedup.without_shared_lines(read(spark, folder, "documents")))
@@ -91,6 +97,22 @@ def fingerprints_query(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.fingerprints(read(spark, folder, "documents"))
 
 
+def token_alignment_query(spark: SparkSession, folder: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    vocabularies = token_alignment.read_vocabularies(
+        f"{tokenizers}/byte_bpe_50k.json", f"{tokenizers}/piece_bpe_32k.model"
+    )
+    aligned, _ = token_alignment.align(read(spark, folder, "documents"), vocabularies, digests=True)
+    return token_alignment.digest(aligned)
+
+
+def word_graph_query(spark: SparkSession, folder: str) -> DataFrame:
+    return word_graph.digest(word_graph.without_repeats(read(spark, folder, "documents")))
+
+
+def conversation_repair_query(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.reports(conversation_repair.damaged(read(spark, folder, "conversations")))
+
+
 QUERIES = {
     "op1_line_dedup": line_dedup_query,
     "op2_licenses": licenses_query,
@@ -102,4 +124,7 @@ QUERIES = {
     "op8_language": language_query,
     "op9_mixing": mixing_query,
     "op10_fingerprints": fingerprints_query,
+    "op11_token_alignment": token_alignment_query,
+    "op12_substring_dedup": word_graph_query,
+    "op13_conversation_repair": conversation_repair_query,
 }

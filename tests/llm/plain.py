@@ -3,8 +3,10 @@
 import hashlib
 import math
 import re
+import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
-from itertools import combinations
+from itertools import accumulate, combinations
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -121,3 +123,133 @@ def edited(texts):
         quarter = len(text) // 4
         following = order[(place + 1) % len(order)][1]
         yield doc_id, len(text), sha(text[: len(text) - quarter] + following[:quarter])
+
+
+RUN = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def repeated_words(texts, size=13):
+    own = [(doc_id, RUN.findall(text or "")) for doc_id, text in texts]
+    least = {}
+    for doc_id, found in own:
+        for i in range(len(found) - size + 1) if doc_id is not None else ():
+            window = tuple(found[i : i + size])
+            least[window] = min(least.get(window, doc_id), doc_id)
+    for doc_id, found in own:
+        gone = set()
+        for i in range(len(found) - size + 1) if doc_id is not None else ():
+            if least[tuple(found[i : i + size])] < doc_id:
+                gone.update(range(i, i + size))
+        kept = [word for i, word in enumerate(found) if i not in gone]
+        yield doc_id, len(found), len(gone), sha(" ".join(kept))
+
+
+def ends_of(lengths):
+    return list(accumulate(lengths))
+
+
+def alignment(texts, encode_a, encode_b, bytes_a, bytes_b):
+    """By document: counts, best links, sum of counts and the list of groups; by pair, the number of documents."""
+    listed, counts = [], Counter()
+    for doc_id, text in texts:
+        groups = []
+        if text:
+            whole = f" {text}".encode()
+            a, b = encode_a(f" {text}"), encode_b(text)
+            if b"".join(map(bytes_a, a)) == whole and b"".join(map(bytes_b, b)) == whole:
+                ends_a, ends_b = ends_of(len(bytes_a(x)) for x in a), ends_of(len(bytes_b(x)) for x in b)
+                both = sorted(set(ends_a) & set(ends_b))
+                groups = [([], []) for _ in both]
+                for ids, ends, side in ((a, ends_a, 0), (b, ends_b, 1)):
+                    for number, end in zip(ids, ends):
+                        groups[bisect_left(both, end)][side].append(number)
+        links = Counter((x, y) for a, b in groups for x in a for y in b)
+        counts.update(links.keys())
+        listed.append((doc_id, groups, links))
+    highest = Counter()
+    for (x, _), n in counts.items():
+        highest[x] = max(highest[x], n)
+    rows = []
+    for doc_id, groups, links in listed:
+        text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        rows.append(
+            (
+                doc_id,
+                sum(len(a) for a, _ in groups),
+                sum(len(b) for _, b in groups),
+                len(groups),
+                sum(links.values()),
+                sum(n for pair, n in links.items() if counts[pair] == highest[pair[0]]),
+                sum(n * counts[pair] for pair, n in links.items()),
+                sha(text) if groups else "",
+            )
+        )
+    return rows, counts
+
+
+def damage(rows):
+    for conv_id, turn, role, text in rows:
+        conv, at, role, text = (" " if value is None else str(value) for value in (conv_id, turn, role, text))
+        how = zlib.crc32(f"{conv}:{at}".encode()) % 20
+        text = "" if how == 1 else re.sub("[.!?]", "", text) if how == 2 else text
+        role = "user" if how == 4 else role
+        for _ in range({0: 0, 3: 2}.get(how, 1)):
+            yield conv_id, turn, role, text
+
+
+def cheapest_edits(kinds):
+    """Cost and audit over all edits, audits written out for every state; ``kinds`` are (initial, fault), fault 2 goes."""
+    states = {"": (0, "")}
+    after = {"": "u", "s": "u", "u": "a", "a": "u"}
+
+    def put(found, state, value):
+        found[state] = min(found.get(state, value), value)
+
+    def inserted(found):
+        found = dict(found)
+        for _ in range(3):
+            for state, (cost, audit) in list(found.items()):
+                put(found, after[state], (cost + 2, audit + "I"))
+        return found
+
+    for initial, fault in kinds:
+        found = {}
+        for state, (cost, audit) in inserted(states).items():
+            put(found, state, (cost + 3, audit + "D"))
+            if fault != 2:
+                put(found, after[state], (cost + 2 + fault, audit + "R"))
+                if initial == after[state] or (initial, state) == ("s", ""):
+                    put(found, initial, (cost + fault, audit + "K"))
+        states = found
+    found = inserted(states)
+    return min(found[state] for state in ("", "a") if state in found)
+
+
+def conversations(given):
+    """The report of every conversation of ``given`` (conv_id, turn, role, text) after damage."""
+    held = {row[0]: [] for row in given}
+    for row in damage(given):
+        held[row[0]].append(row[1:])
+    for conv_id, rows in held.items():
+        rows.sort(key=lambda row: (row[0] is not None, row[0] or 0, row[1], row[2]))
+        faults, seen, kinds = Counter(), set(), []
+        for _, role, text in rows:
+            last = text.rstrip(" \t\n\x0b\f\r")[-1:]
+            fault = "blank" if not last else "duplicate" if (role, text) in seen else "" if last in ".!?" else "truncated"
+            seen.add((role, text))
+            faults[fault] += 1
+            kinds.append((role[:1], {"": 0, "truncated": 1}.get(fault, 2)))
+        cost, audit = cheapest_edits(kinds)
+        turns = {row[0] for row in rows} - {None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(kinds, kinds[1:]))
+        state, left, ahead = "", [], iter(rows)
+        for edit in audit:
+            _, role, text = (None, None, "") if edit == "I" else next(ahead)
+            if edit == "D":
+                continue
+            if edit != "K":
+                role = "assistant" if state == "u" else "user"
+            state = role[:1]
+            left.append(f"{role}:{text}")
+        yield conv_id, gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, sha("\n".join(left))

@@ -22,7 +22,7 @@ def database():
 def test_all_are_registered():
     names = entry_points.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLE) <= set(entry_points.oracle_sql())
 
 
