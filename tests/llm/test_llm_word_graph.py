@@ -34,8 +34,8 @@ def test_no_documents(spark):
     assert word_graph.digest(word_graph.without_repeats(spark.createDataFrame([], SCHEMA))).count() == 0
 
 
-@pytest.mark.parametrize("seed, window, gram", [(1, 13, 6), (2, 4, 2), (3, 5, 4), (4, 3, 1)])
-def test_random_passages(spark, seed, window, gram):
+@pytest.mark.parametrize("seed, window, gram, length", [(1, 13, 6, 32), (2, 4, 2, 3), (3, 5, 4, 10**9), (4, 3, 2, 1)])
+def test_random_passages(spark, seed, window, gram, length):
     """Few words make nodes with many ways in and out, and circles."""
     chance = random.Random(seed)
     pool = [[chance.choice("abcdefg") for _ in range(chance.randrange(3, 60))] for _ in range(8)]
@@ -45,7 +45,7 @@ def test_random_passages(spark, seed, window, gram):
         found = [word for _ in range(4) for word in chance.choice(pool)[chance.randrange(5) :]]
         made.append((chance.randrange(40), " ".join(found)))
     docs = spark.createDataFrame(made, "doc_id long, text string").repartition(4)
-    assert any(row[2] for row in check(docs, made, window=window, gram=gram))
+    assert any(row[2] for row in check(docs, made, window=window, gram=gram, length=length))
 
 
 def test_joining_instead_of_filtering(spark, monkeypatch):
@@ -62,16 +62,16 @@ def test_a_circle_is_opened_and_a_passage_is_one_span(spark):
     # Together these hold every window of the circle twice, and none holds them all
     for n in range(8):
         turned = (circle * 2)[n * 5 : n * 5 + 30]
-        made += [(100 + n, " ".join(turned)), (200 + n, " ".join(turned))]
+        made += [(100 + n, " ".join(turned)), (200 + n, " ".join([f"own{n}", *turned]))]
     docs = spark.createDataFrame(made, "doc_id long, text string")
     check(docs, made)
-    spans = word_graph.repeated_spans(docs).collect()
+    # Every text is one stretch and none are equal, so all windows are edges or short paths
+    spans = word_graph.repeated_spans(docs, length=1 << 62).collect()
     straight = [row for row in spans if row["doc_id"] < 100]
     assert [(row["start"], row["windows"]) for row in straight] == [(1, 488)] * 5
-    assert {(row["source"]["doc_id"], row["source"]["place"]) for row in straight} == {(0, 1)}
-    assert len({tuple(row["path"]) for row in straight}) == 1
-    assert {tuple(row["path"]) for row in spans if row["doc_id"] >= 100} != {tuple(straight[0]["path"])}
-    assert len({tuple(row["path"]) for row in spans if row["doc_id"] >= 100}) == 1
+    assert {(row["source_id"], row["source_start"]) for row in straight} == {(0, 1)}
+    assert len({row["path"] for row in straight}) == 1
+    assert len({row["path"] for row in spans if row["doc_id"] >= 100} | {straight[0]["path"]}) == 2
 
 
 def test_following_chains_and_circles(spark):
