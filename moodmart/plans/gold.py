@@ -193,6 +193,13 @@ def trend_of(
         .groupBy("fk_sentiment_id", "fk_team_id", "fk_date_id", "_s")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    return trend_of_counts(cells, sentiments, dates, legacy_date_fanout)
+
+
+def trend_of_counts(
+    cells: DataFrame, sentiments: DataFrame, dates: DataFrame, legacy_date_fanout: bool = False
+) -> DataFrame:
+    """The trend of facts that are counted already: ``_n`` of them per team, date, sentiment and flag ``_s``."""
     calendar = dates.groupBy(F.col("date_id").alias("fk_date_id"), "year", "week_of_year").agg(
         (F.count(F.lit(1)) if legacy_date_fanout else F.lit(1).cast("long")).alias("_copies")
     )

@@ -4,6 +4,7 @@ Only the edges between layers are stored. Every job reads stored tables, so dime
 that several jobs need is computed once.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -18,7 +19,7 @@ from moodmart.operators.joins import measure
 from moodmart.operators.merge import union_all, unmatched
 from moodmart.plans import bronze, gold, silver
 from moodmart.session import stage
-from moodmart.sources.tables import read_table, write_table
+from moodmart.sources.tables import partition_name, read_table, write_table
 
 LANDED = S.with_column(S.PAGES, "extracted_date", T.DateType())
 _STORED_ARTICLES = S.with_column(S.STORED_ARTICLES, "published_month", T.StringType())
@@ -107,7 +108,11 @@ def in_months_of(keys: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def refresh_articles(
-    spark: SparkSession, warehouse: Warehouse, pages: DataFrame | None = None, **options
+    spark: SparkSession,
+    warehouse: Warehouse,
+    pages: DataFrame | None = None,
+    maintain: Callable[[DataFrame, DataFrame], object] | None = None,
+    **options,
 ) -> dict[str, int]:
     """Bring the article table up to date from ``pages`` (by default all landed ones).
 
@@ -115,12 +120,18 @@ def refresh_articles(
     articles are neither read nor written: cost follows the pages given, not the history. The stored articles keep the
     fetch they are from and the same order decides in every run, so it does not matter how landed pages are dealt out
     to runs. Pages given again are judged again: whatever was rejected of them before is replaced.
+
+    ``maintain`` gets the stored articles of the touched months and what replaces them, before they are replaced; a run
+    broken off after it is to pass them again under the same number (:class:`moodmart.plans.maintained.MaintainedTrend`).
     """
     if pages is None:
         pages = read_pages(spark, warehouse)
     found = silver.articles_from_pages(pages, **options)
     stored = in_months_of(found.keys, read_table(spark, warehouse.articles, _STORED_ARTICLES))
     merged = silver.merge_articles(stored, found)
+    if maintain is not None:
+        merged = stage(merged)
+        maintain(stored, merged)
     return {
         "articles": store_articles(warehouse, merged),
         "rejected": _store_rejected(spark, warehouse, pages, found.rejected),
@@ -151,11 +162,13 @@ def _store_rejected(spark: SparkSession, warehouse: Warehouse, pages: DataFrame,
     written = {row[0] for row in kept.select("extracted_date").distinct().collect()}
     # A day of which nothing is rejected any more has no rows that could replace its partition
     emptied = {row[0] for row in stored.select("extracted_date").distinct().collect()} - written
-    count = write_table(kept, warehouse.rejected, partition_by=["extracted_date"], only_touched_partitions=True)
-    for day in emptied:
-        none = spark.createDataFrame([], S.REJECTED)
-        none.write.mode("overwrite").parquet(f"{warehouse.rejected}/extracted_date={day}")
-    return count
+    return write_table(
+        kept,
+        warehouse.rejected,
+        partition_by=["extracted_date"],
+        only_touched_partitions=True,
+        emptied=[partition_name(spark, extracted_date=day) for day in emptied],
+    )
 
 
 def refresh_gold(

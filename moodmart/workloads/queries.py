@@ -13,6 +13,7 @@ from moodmart.functions import text as T
 from moodmart.operators import filters, merge, scoring
 from moodmart.operators.joins import measure
 from moodmart.plans import bronze, gold, refresh, silver
+from moodmart.plans.maintained import MaintainedTrend
 from moodmart.session import ensure_checkpoint_dir, stage
 from moodmart.sources import feed, tables
 from moodmart.workloads import inputs as I
@@ -433,3 +434,66 @@ def incremental_articles(spark: SparkSession, folder: str) -> DataFrame:
     result = stage(refresh.read_articles(spark, warehouse))
     tables.drop_table(spark, root)
     return result
+
+
+@_registered
+def articles_after_an_empty_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Articles after a first run that finds none, as all its fetches failed, and three runs that do."""
+    root = _own_folder(spark)
+    warehouse = refresh.Warehouse(root)
+    pages = stage(I.daily_dated_pages(spark, folder))
+    refresh.refresh_articles(spark, warehouse, pages.withColumn("html", F.lit("HTTP error 500")))
+    if refresh.read_articles(spark, warehouse).count():
+        raise ValueError("failed fetches gave articles")
+    for place in range(3):
+        day = pages.where(F.to_date("_extractedDate") == F.lit(f"2025-01-{15 + place}").cast("date"))
+        refresh.refresh_articles(spark, warehouse, day, selectors=I.DATED_PAGE)
+    result = stage(refresh.read_articles(spark, warehouse))
+    tables.drop_table(spark, root)
+    return result
+
+
+def _two_runs(spark: SparkSession, folder: str, root: str) -> MaintainedTrend:
+    """A trend kept up through two days of articles; the second day is applied twice.
+
+    A team and the articles whose key begins with 0 to 3 come on the second day; of the others, those with 4 or 5 have
+    another text on the first, and those with f are gone on the second.
+    """
+    articles = stage(I.articles(spark, folder))
+    begin = F.left("id", F.lit(1))
+    late = (F.col("teamName") == I.LATE_TEAM) | (begin <= "3")
+    older = F.when(begin.isin("4", "5"), F.concat("content", F.lit(" the and of the"))).otherwise(F.col("content"))
+    first = articles.where(~late).withColumn("content", older)
+    second = articles.where(late | (begin != "f"))
+    maintained, lexicon = MaintainedTrend(spark, root), I.lexicon(spark)
+    maintained.apply(1, articles.where("false"), first, lexicon)
+    for _ in range(2):
+        maintained.apply(2, first, second, lexicon)
+    return maintained
+
+
+@_registered
+def maintained_trend(spark: SparkSession, folder: str) -> DataFrame:
+    """The weekly trend after a day of new, changed and withdrawn articles, from signed counts of the changes alone."""
+    root = _own_folder(spark)
+    result = stage(_two_runs(spark, folder, root).trend())
+    tables.drop_table(spark, root)
+    return result
+
+
+@_registered
+def team_registry(spark: SparkSession, folder: str) -> DataFrame:
+    """Teams under numbers that stay: a team that comes later is numbered after the others."""
+    root = _own_folder(spark)
+    result = stage(_two_runs(spark, folder, root).teams())
+    tables.drop_table(spark, root)
+    return result
+
+
+@_registered
+def article_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """The keys that each of the runs inserted, replaced and removed."""
+    root = _own_folder(spark)
+    result = stage(_two_runs(spark, folder, root).changes())
+    tables.drop_table(spark, root)
+    return result
