@@ -22,6 +22,8 @@ with one identifier follow each other by the hash of their texts, those without
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +57,23 @@ def _place(packed: Column) -> Column:
     return packed.bitwiseAND(F.lit(_PLACE)).cast("int")
 
 
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def _least(values: Column, count: int) -> Column:
+    """The ``count`` least of an array of different numbers, or all if there are fewer, without sorting it."""
+
+    def further(held: Column, found: list[Column]) -> Column:
+        if len(found) == count:
+            return F.array_compact(F.array(*found))
+        rest = F.filter(held, lambda x: x > found[-1]) if found else held
+        return _bound(F.array_min(rest), lambda least: further(held, [*found, least]))
+
+    return _bound(values, lambda held: further(held, []))
+
+
 def with_signature(
     frame: DataFrame, text: str, name: str, k: int = K, width: int = TUPLE, dense: bool = False
 ) -> DataFrame:
@@ -165,10 +184,8 @@ def with_signature(
 
     def seeded(b: Column) -> Column:
         """The bucket and the hash of the k-mers, in text order, that are least under the bucket's own hash."""
-        drawn = F.sort_array(
-            F.transform(F.col("_pairs"), lambda x: _packed(F.xxhash64(F.shiftright(x, _PLACE_BITS), b), _place(x)))
-        )
-        places = F.sort_array(F.transform(F.slice(drawn, 1, width), _place))
+        drawn = F.transform(F.col("_pairs"), lambda x: _packed(F.xxhash64(F.shiftright(x, _PLACE_BITS), b), _place(x)))
+        places = F.sort_array(F.transform(_least(drawn, width), _place))
         hashed = F.xxhash64(F.transform(places, lambda p: F.get(grams, p)))
         value = F.shiftleft(b.cast("long"), _CODE_BITS).bitwiseOR(hashed.bitwiseAND(F.lit((1 << _CODE_BITS) - 1)))
         return value.cast("int")
