@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodmart.llm.tables import KeyFilter, key_filter, row_key, stage_numbered
+from moodmart.llm.tables import KeyFilter, free_name, key_filter, row_key, stage_numbered
 from moodmart.llm.texts import Words, pieces, shingles, whole_shingles
 from moodmart.operators.joins import dimension_join
 from moodmart.session import stage
@@ -223,6 +223,6 @@ def digest(result: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any benchmark window, with all their columns."""
     result, _ = contamination(docs, items)
-    dropped = stage(result.where("contaminated").select(F.col("key").alias("_row_key")).distinct())
-    keyed = docs.withColumn("_row_key", row_key())
-    return dimension_join(keyed, dropped, "_row_key", "left_anti").select(*docs.columns)
+    name = free_name(docs, "_row_key")
+    dropped = stage(result.where("contaminated").select(F.col("key").alias(name)).distinct())
+    return dimension_join(docs.withColumn(name, row_key()), dropped, name, "left_anti").select(*docs.columns)

@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodmart.llm.tables import row_key
+from moodmart.llm.tables import free_name, row_key
 from moodmart.llm.texts import PIECE_BYTES, mix
 from moodmart.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, dimension_join
 from moodmart.session import stage
@@ -459,7 +459,7 @@ def identify(docs: DataFrame, gathered_cells: int = GATHERED_CELLS) -> DataFrame
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    named = docs.withColumn("_row_key", row_key())
+    name = free_name(docs, "_row_key")
     verdicts = identify(docs)
-    gone = stage(verdicts.where("rejected").select(F.col("key").alias("_row_key")).distinct())
-    return dimension_join(named, gone, "_row_key", "left_anti").select(*docs.columns)
+    gone = stage(verdicts.where("rejected").select(F.col("key").alias(name)).distinct())
+    return dimension_join(docs.withColumn(name, row_key()), gone, name, "left_anti").select(*docs.columns)

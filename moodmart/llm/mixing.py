@@ -8,11 +8,13 @@ source stay in balance, and at the end one document holds a fraction, which is r
 at most half of that document.
 
 Pairs are made within blocks of about ``BLOCK`` documents of a source; each block leaves at most one residual, residuals
-of ``FAN`` blocks form a block of the next level, and so on up to one block per source. Blocks, order and draws come from hashes of identifier and text, so reruns and retries agree.
+of ``FAN`` blocks form a block of the next level, and so on up to one block per source. Within a block the larger
+documents come first, so that what is left over is a small one. Blocks and draws come from hashes of identifier and text,
+so reruns and retries agree. A document repeated more often than a block is large is dealt over blocks by its number.
 
 Rules: words are runs of characters other than 0x20 and 0x09 to 0x0D; a null text has size 0. A null source is a source,
-ordered last. Documents of size 0 are taken 0 times. Repeated rows are documents of their own. Only the named columns
-are read.
+ordered last. Documents of size 0 are taken 0 times. Repeated rows are documents of their own, also where they differ in
+other columns. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -21,32 +23,40 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodmart.llm.tables import row_key, stage_numbered
+from moodmart.llm.tables import free_name, row_key, stage_numbered
 from moodmart.operators.joins import dimension_join
+from moodmart.operators.numbering import number_sorted
 from moodmart.session import stage
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 BLOCK = 4096
 FAN = 64
+DEFAULTS = {"weights": WEIGHTS, "most_copies": MOST_COPIES, "block_size": BLOCK, "fan": FAN}
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def source_name(source: Column) -> Column:
+    """A source as text that is never null, in the order of code points, null last."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(">"))
+
+
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most_copies: int = MOST_COPIES) -> DataFrame:
     """Adds weight and target to a table with one row per source (source, source_size).
 
     Sources by code point, null last, weigh ``weights`` in turn and share the total; no target exceeds ``most_copies``
     times its source's size, and what that leaves is shared again among the others.
     """
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights)).cast("int"))
-    weighed = stage(sizes.withColumn("weight", weight))
+    named = sizes.withColumn("_name", source_name(F.col("source")))
+    places = number_sorted(named, "_name", "_place")
+    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("_place") - 1) % len(weights)).cast("int"))
+    weighed = stage(dimension_join(named, places, "_name").withColumn("weight", weight).drop("_name", "_place"))
     limit = F.col("source_size") * float(most_copies)
     total = weighed.agg(
         F.coalesce(F.sum("source_size"), F.lit(0)).alias("size"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("weight")
@@ -103,7 +113,7 @@ def pivot(sizes: np.ndarray, masses: np.ndarray, chances: np.ndarray) -> np.ndar
 
 def _round(items: DataFrame, level: int, last: bool) -> DataFrame:
     def block(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["hash", "size", "rid"], kind="stable")
+        rows = rows.sort_values(["size", "hash", "rid"], ascending=[False, True, True], kind="stable")
         sizes, chances = rows["size"].to_numpy(float), draws(rows["hash"].to_numpy(), level)
         masses = pivot(sizes, rows["mass"].to_numpy(float), chances)
         if last:
@@ -116,7 +126,11 @@ def _round(items: DataFrame, level: int, last: bool) -> DataFrame:
 def choose(items: DataFrame, blocks: int, block_size: int, fan: int) -> DataFrame:
     """(rid, chosen) for ``items`` (source_key, rid, hash, size, mass, documents), mass being from 0 to size."""
     number = F.ceil(F.col("documents") / block_size)
-    open_items = items.withColumn("block", F.pmod(F.col("hash"), number)).drop("documents")
+    many = stage(items.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_size).select("hash", F.lit(True).alias("spread")))
+    dealt = F.when(F.col("spread"), F.xxhash64("hash", "rid")).otherwise(F.col("hash"))
+    open_items = (
+        dimension_join(items, many, "hash", "left").withColumn("block", F.pmod(dealt, number)).drop("documents", "spread")
+    )
     chosen, level = None, 0
     while True:
         last = blocks <= 1
@@ -139,12 +153,23 @@ def mix(
     block_size: int = BLOCK,
     fan: int = FAN,
 ) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text, source): doc_id, source, key, size, source_size, target, copies, taken."""
-    sized = stage_numbered(
-        docs.select("doc_id", "source", row_key().alias("key"), word_count(F.col("text")).alias("size")).withColumn(
-            "source_key", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-        )
+    """Per row of ``docs`` (doc_id, text, source): doc_id, source, rid, size, source_size, target, copies, taken."""
+    return _mix(stage(_sized(docs, F.monotonically_increasing_id())), weights, most_copies, block_size, fan)
+
+
+def _sized(docs: DataFrame, number: Column) -> DataFrame:
+    key = row_key()
+    return docs.select(
+        number.alias("rid"),
+        "doc_id",
+        "source",
+        F.xxhash64(key["id"], key["text"], key["check"]).alias("hash"),
+        word_count(F.col("text")).alias("size"),
+        source_name(F.col("source")).alias("source_key"),
     )
+
+
+def _mix(sized: DataFrame, weights: Sequence[float], most_copies: int, block_size: int, fan: int) -> DataFrame:
     by_source = sized.groupBy("source_key").agg(
         F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("documents")
     )
@@ -160,7 +185,7 @@ def mix(
     items = placed.where((F.col("fraction") > 0) & (F.col("size") > 0)).select(
         "source_key",
         "rid",
-        F.xxhash64("key.id", "key.text", "key.check").alias("hash"),
+        "hash",
         "size",
         (F.col("fraction") * F.col("size")).alias("mass"),
         "documents",
@@ -171,7 +196,7 @@ def mix(
     return placed.join(chosen, "rid", "left").select(
         "doc_id",
         "source",
-        "key",
+        "rid",
         "size",
         "source_size",
         "target",
@@ -183,14 +208,16 @@ def digest(result: DataFrame) -> DataFrame:
     return result.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the mix takes, with all their columns and ``copies``, the number of times each is taken.
+def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+    """The documents that the mix takes, with all their columns and ``copies``, the number of times each is taken (in
+    place of a column of that name, if there is one).
 
-    Rows equal in identifier and text share one row key; they are joined one to one by counting them.
+    Rows are stored under a number, and known by it: those equal in identifier and text may come from different sources.
     """
-    taken = mix(docs).select(F.col("key").alias("_key"), "copies")
-    times = F.row_number().over(Window.partitionBy("_key").orderBy(F.col("copies").desc()))
-    numbered = docs.withColumn("_key", row_key())
-    left = numbered.withColumn("_copy", F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1))))
-    right = taken.withColumn("_copy", times).where(F.col("copies") > 0)
-    return left.join(right, ["_key", "_copy"]).select(*docs.columns, "copies")
+    name = free_name(docs, "_number")
+    numbered = stage_numbered(docs, name)
+    sized = stage(_sized(numbered, F.col(name)))
+    taken = _mix(sized, **{**DEFAULTS, **settings}).where(F.col("copies") > 0)
+    copies = stage(taken.select(F.col("rid").alias(name), "copies"))
+    kept = [column for column in docs.columns if column.lower() != "copies"]
+    return dimension_join(numbered.select(name, *kept), copies, name).select(*kept, "copies")

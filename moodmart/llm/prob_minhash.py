@@ -31,9 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodmart.llm.components import components
-from moodmart.llm.tables import row_key, stage_numbered
+from moodmart.llm.tables import free_name, row_key, stage_numbered
 from moodmart.llm.texts import Words, mix, pieces, shingles, whole_shingles
 from moodmart.operators.joins import dimension_join
+from moodmart.operators.merge import dedup_latest
 from moodmart.session import stage
 
 SHINGLE_WORDS = 5
@@ -335,11 +336,14 @@ def near_duplicates(
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each class, with all its columns. Of rows equal in identifier and text, one stays."""
+    """One document of each class, with all its columns. Of rows equal in identifier and text one stays, the same in
+    every run: the one whose columns together have the least hash."""
+    name = free_name(docs, "_row_key")
     result, _ = near_duplicates(docs)
-    stay = stage(result.where("first").select(F.col("key").alias("_row_key")))
-    kept = docs.withColumn("_row_key", row_key())
-    twice = stage(result.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(F.col("key").alias("_row_key")))
-    single = dimension_join(dimension_join(kept, stay, "_row_key"), twice, "_row_key", "left_anti")
-    repeated = dimension_join(dimension_join(kept, stay, "_row_key"), twice, "_row_key").dropDuplicates(["_row_key"])
-    return single.unionByName(repeated).select(*docs.columns)
+    stay = stage(result.where("first").select(F.col("key").alias(name)))
+    kept = docs.withColumn(name, row_key())
+    twice = stage(result.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(F.col("key").alias(name)))
+    single = dimension_join(dimension_join(kept, stay, name), twice, name, "left_anti")
+    repeated = dimension_join(dimension_join(kept, stay, name), twice, name)
+    one = dedup_latest(repeated, name, [F.xxhash64(*docs.columns)])
+    return single.unionByName(one).select(*docs.columns)

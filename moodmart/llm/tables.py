@@ -33,6 +33,14 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     )
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of the frame is called so."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stage_numbered(frame: DataFrame, name: str = "rid") -> DataFrame:
     """Store a frame with a number per row. Readers see the stored numbers, so these never change under a retry."""
     return stage(frame.withColumn(name, F.monotonically_increasing_id()))

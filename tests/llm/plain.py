@@ -253,3 +253,73 @@ def conversations(given):
             state = role[:1]
             left.append(f"{role}:{text}")
         yield conv_id, gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, sha("\n".join(left))
+
+
+def mixing_targets(sizes, weights=(5, 2, 1), most=3):
+    """``sizes`` by source; sources in order, None last."""
+    order = sorted(sizes, key=lambda source: (source is None, source or ""))
+    weight = {source: weights[place % len(weights)] for place, source in enumerate(order)}
+    full, total = set(), sum(sizes.values())
+    while True:
+        free = [source for source in order if source not in full]
+        level = (total - sum(most * sizes[s] for s in full)) / sum(weight[s] for s in free) if free else 0
+        over = {source for source in free if weight[source] * level > most * sizes[source]}
+        if not over:
+            return {s: most * sizes[s] if s in full else weight[s] * level for s in order}
+        full |= over
+
+
+def uniform(number, level):
+    value, most = (number + (level + 1) * 0x9E3779B97F4A7C15) % 2**64, 2**64
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        value = (value ^ value >> shift) * factor % most
+    return (value >> 11) / 2**53
+
+
+def pivotal(rows, level, last):
+    """``rows`` are [rid, hash, size, mass] of one block; masses become 0 or the size, but for one at most."""
+    rows = sorted(rows, key=lambda row: (-row[2], row[1], row[0]))
+    left = None
+    for row in rows:
+        if left is None:
+            left = row
+            continue
+        up, down = min(left[2] - left[3], row[3]), min(left[3], row[2] - row[3])
+        move = up if uniform(row[1], level) * (up + down) < down else -down
+        left[3], row[3] = left[3] + move, row[3] - move
+        for side in (left, row):
+            if min(side[3], side[2] - side[3]) <= 1e-9 * max(left[2], row[2]):
+                side[3] = 0.0 if side[3] < side[2] / 2 else float(side[2])
+        open_rows = [side for side in (left, row) if 0 < side[3] < side[2]]
+        left = open_rows[-1] if open_rows else None
+    for row in rows:
+        if last:
+            row[3] = float(row[2]) if 2 * row[3] >= row[2] else 0.0
+    return rows
+
+
+def mixing(items, block_size, fan):
+    """Copies by rid, for ``items`` (rid, source, hash, size)."""
+    sizes, documents = Counter(), Counter()
+    for _, source, _, size in items:
+        sizes[source] += size
+        documents[source] += 1
+    goals, copies, blocks = mixing_targets(sizes), {}, defaultdict(list)
+    for rid, source, number, size in items:
+        rate = goals[source] / sizes[source] if sizes[source] else 0
+        copies[rid] = math.floor(rate) if size else 0
+        if size and rate > math.floor(rate):
+            block = number % -(-documents[source] // block_size)
+            blocks[source, block].append([rid, number, size, (rate - math.floor(rate)) * size])
+    count, level = -(-max(documents.values()) // block_size), 0
+    while True:
+        last, following = count <= 1, defaultdict(list)
+        for (source, block), rows in blocks.items():
+            for row in pivotal(rows, level, last):
+                if 0 < row[3] < row[2]:
+                    following[source, block // fan].append(row)
+                else:
+                    copies[row[0]] += row[3] > 0
+        if last:
+            return copies
+        blocks, count, level = following, -(-count // fan), level + 1

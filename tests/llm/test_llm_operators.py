@@ -65,7 +65,10 @@ def awkward_rows():
     ]
 
 
-EXTRA = ("key", "rid", "hash", "size", "n", "id", "bucket", "class", "start", "end", "window", "score", "place", "value")
+EXTRA = (
+    "key", "rid", "hash", "size", "n", "id", "bucket", "class", "start", "end", "window", "score", "place", "value",
+    "_row_key", "_number", "_name", "_key", "spread", "block",
+)
 
 
 @pytest.fixture(scope="module")
@@ -324,8 +327,51 @@ def test_mixing_through_several_levels(spark):
         assert len({row["copies"] for row in own}) == 2
 
 
+def mixing_items(spark, docs):
+    """(rid, source, hash, size) per row; rows equal in all have different rids."""
+    named = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    key = [F.xxhash64(F.lit(1), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.xxhash64("text"), F.xxhash64(F.lit(2), F.col("text"))]
+    return [
+        (n, row["source"], row["hash"], len(re.findall(r"[^\x20\x09-\x0D]+", row["text"])))
+        for n, row in enumerate(named.withColumn("hash", F.xxhash64(*key)).collect())
+    ], [(row["doc_id"], row["source"]) for row in named.collect()]
+
+
+@pytest.mark.parametrize("block_size, fan", [(4096, 64), (8, 2)])
+@pytest.mark.parametrize("table", ["given", "awkward"])
+def test_mixing_against_plain_rounding(table, block_size, fan, request, spark):
+    docs, _ = request.getfixturevalue(table)
+    docs = docs.coalesce(1)
+    items, named = mixing_items(spark, docs)
+    wanted = plain.mixing(items, block_size, fan)
+    found = mixing.mix(docs, block_size=block_size, fan=fan)
+    assert rows(found, "doc_id", "source", "size", "copies") == expected(
+        (*named[rid], size, wanted[rid]) for rid, _, _, size in items
+    )
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_rows_that_differ_only_in_their_source(spark, parts):
+    chance = random.Random(3)
+    made = [(n // 2 if n < 60 else n, "w " * (1 + n // 2 % 9), f"s{n % 4}" if n < 60 else chance.choice("ab")) for n in range(100)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string").repartition(parts)
+    wanted = rows(mixing.mix(docs).where("copies > 0"), "doc_id", "source", "copies")
+    assert rows(mixing.mixed_documents(docs), "doc_id", "source", "copies") == wanted
+
+
+def test_a_document_repeated_in_a_third_of_all_rows(spark):
+    made = [(7, "same words here", "a")] * 300 + [(n, "w " * (1 + n % 9), "ab"[n % 2]) for n in range(600)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string").repartition(4)
+    found = mixing.mix(docs, block_size=16, fan=4).collect()
+    assert len(found) == 900
+    for source in "ab":
+        own = [row for row in found if row["source"] == source]
+        assert abs(sum(row["taken"] for row in own) - own[0]["target"]) <= 4.5
+
+
 def test_mixed_documents_keep_their_columns(awkward):
     docs, _ = awkward
+    assert mixing.mixed_documents(docs.withColumns({"copies": F.lit("given"), "_number": F.lit(1)})).count() > 0
     kept = mixing.mixed_documents(docs)
     assert kept.columns == [*docs.columns, "copies"]
     assert kept.agg(F.min("copies")).first()[0] >= 1
@@ -392,6 +438,14 @@ def test_signatures_against_plain_python(spark):
     texts = [" ".join(chance.choice("abcde") for _ in range(n)) for n in (0, 1, 2, 3, 10, 60, 300)]
     frame = spark.createDataFrame([(n, text) for n, text in enumerate(texts)], "n int, text string")
     found = {row["n"]: row["s"] for row in order_minhash.with_signature(frame, "text", "s").collect()}
+    filled = order_minhash.with_signature(frame, "text", "s", dense=True)
+    dense = {row["n"]: row["s"] for row in filled.collect()}
+    prints = {row["n"]: row["p"] for row in filled.select("n", order_minhash.written("s").alias("p")).collect()}
+
+    def drawn(numbers):
+        """Every number's hash under each bucket's own seed."""
+        made = spark.createDataFrame([(x,) for x in numbers], "x long").crossJoin(spark.range(64).select(F.col("id").cast("int").alias("b")))
+        return {(row["x"], row["b"]): row["v"] for row in made.withColumn("v", F.xxhash64("x", "b")).collect()}
 
     def hashes(tuples, kind):
         made = spark.createDataFrame([(list(t),) for t in tuples] or [([],)], f"v array<{kind}>")
@@ -409,7 +463,7 @@ def test_signatures_against_plain_python(spark):
         own = text.split()
         runs = [tuple(own[i : i + 3]) for i in range(len(own) - 2)] if len(own) >= 3 else [tuple(own)] if own else []
         if not runs:
-            assert found[n] == []
+            assert found[n] == dense[n] == [] and prints[n] == ""
             continue
         known = hashes(set(runs), "string")
         seen, pairs = Counter(), []
@@ -425,6 +479,25 @@ def test_signatures_against_plain_python(spark):
         codes = hashes(set(chosen.values()), "bigint")
         wanted = sorted((b << 25) | (codes[t] & ((1 << 25) - 1)) for b, t in chosen.items())
         assert [x & 0xFFFFFFFF for x in found[n]] == wanted
+        numbers = [(values[h, o] & ((1 << 33) - 1), place, h) for h, o, place in pairs]
+        seeds = drawn({x for x, _, _ in numbers})
+        full = {}
+        for b in range(64):
+            if len(buckets.get(b, [])) >= 2:
+                full[b] = chosen[b]
+            else:
+                two = sorted((seeds[x, b] & ((1 << 33) - 1), place, h) for x, place, h in numbers)[:2]
+                full[b] = tuple(h for _, h in sorted((place, h) for _, place, h in two))
+        codes = hashes(set(full.values()), "bigint")
+        wanted = sorted((b << 25) | (codes[t] & ((1 << 25) - 1)) for b, t in full.items())
+        assert [x & 0xFFFFFFFF for x in dense[n]] == wanted
+        assert prints[n] == "".join(f"{x:08X}" for x in wanted)
+    named = filled.select("n", "s")
+    both = named.join(named.select(F.col("n").alias("m"), F.col("s").alias("t")), F.col("n") <= F.col("m"))
+    for row in both.withColumn("like", order_minhash.likeness("s", "t")).collect():
+        a, b = set(row["s"]), set(row["t"])
+        either = {x >> 25 for x in a} | {x >> 25 for x in b}
+        assert row["like"] == (len(a & b) / len(either) if either else 1.0)
 
 
 def test_licenses_are_inherited_from_the_nearest_directory(spark):
