@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodmart.session import stage
+from moodmart.sources.tables import drop_table
 
 # A filter is at most 2^27 bits (16 MiB), whatever the number of keys in it
 MAX_FILTER_BITS = 1 << 27
@@ -41,6 +42,19 @@ def free_name(frame: DataFrame, name: str) -> str:
     return name
 
 
+def let_go(*staged: DataFrame) -> None:
+    """Delete tables made by ``stage`` that nothing reads any more, so that a long job keeps only what it still needs.
+
+    Whatever was derived from them must have been stored itself: a stored table has no lineage that leads back to them.
+    """
+    for frame in staged:
+        folders = {file.rsplit("/", 1)[0] for file in frame.inputFiles()}
+        for folder in folders:
+            if "/staged-" not in folder:
+                raise ValueError(f"{folder} was not made by stage")
+            drop_table(frame.sparkSession, folder)
+
+
 def stage_numbered(frame: DataFrame, name: str = "rid") -> DataFrame:
     """Store a frame with a number per row. Readers see the stored numbers, so these never change under a retry."""
     return stage(frame.withColumn(name, F.monotonically_increasing_id()))

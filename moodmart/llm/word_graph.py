@@ -6,7 +6,7 @@ compacted into one; documents that repeat a passage walk along such a path, and
 path advance together. So a document's repeated words are a few spans on compacted paths, each with the coordinates of
 the earliest document that holds it: words that a smaller doc_id already has go.
 
-* Texts are cut into stretches at words that their own hashes pick. A stretch is a path from its first node to its last
+* Texts are cut into stretches at words that the hashes around them pick. A stretch is a path from its first node to its last
   one. Equal stretches are counted together; all documents after the first that holds one are done with it, and their
   coordinates lead to the first one's. Only what is left of the texts is looked at window by window.
 * Of the runs of ``gram`` words in a window the one with the least hash (leftmost on ties) is its anchor. Equal windows
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodmart.llm.longest_previous import anchors
-from moodmart.llm.tables import MAX_FILTER_BITS, KeyFilter, key_filter
+from moodmart.llm.tables import MAX_FILTER_BITS, KeyFilter, key_filter, let_go
 from moodmart.llm.texts import Powers, RangeHash, mix, pieces
 from moodmart.operators.joins import dimension_join
 from moodmart.session import stage
@@ -103,6 +103,23 @@ class Windows:
             self.runs = RunHash(self.hashes)
             self.grams, self.nodes = self.runs.of(gram), self.runs.of(window - 1)
 
+    def picked(self, length: int) -> np.ndarray:
+        """Which windows begin with a gram less than all others up to ``length`` / 2 before and after it, in one row.
+
+        So picks depend on their neighbourhood alone, and are at least half of ``length`` apart whatever the text; one
+        that repeats itself has none.
+        """
+        reach, grams = length // 2, self.grams
+        found = np.zeros(grams.size, bool)
+        if grams.size > 2 * reach:
+            middle = np.arange(reach, grams.size - reach)
+            leftmost = anchors(grams, 2 * reach + 1)
+            rightmost = grams.size - 1 - anchors(grams[::-1], 2 * reach + 1)[::-1]
+            row = self.words.row
+            within = row[middle - reach] == row[np.minimum(middle + reach + row.size - grams.size, row.size - 1)]
+            found[middle] = (leftmost == middle) & (rightmost == middle) & within
+        return found[self.at]
+
     def runs_from(self, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First window and number of windows of the runs that begin where ``cut`` is true or a row begins."""
         cut = cut.copy()
@@ -132,7 +149,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def stretches(docs: DataFrame, window: int, gram: int, length: int) -> DataFrame:
-    """Runs of windows between words that their own text picks, one in ``length``: doc_id, text_id, place, n (windows),
+    """Runs of windows between words that the text around them picks, one in ``length``: doc_id, text_id, place, n (windows),
     their name (k1, k2) and the nodes that they lead from and to."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +158,7 @@ def stretches(docs: DataFrame, window: int, gram: int, length: int) -> DataFrame
                 found = Windows(data, offsets, window, gram)
                 if not found.at.size:
                     continue
-                begin, n = found.runs_from(found.grams[found.at] % np.uint64(length) == 0)
+                begin, n = found.runs_from(found.picked(length))
                 start = found.at[begin]
                 end = start + n + window - 1
                 yield pa.RecordBatch.from_arrays(
@@ -377,11 +394,16 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, leng
     source = whole.select("k1", "k2", F.col("source.doc_id").alias("source_id"))
     # Whatever the documents after the first hold there, the first holds too: only its own windows are looked at again
     later = stage(found.drop("tail", "head").join(source, ["k1", "k2"]).where(F.col("doc_id") > F.col("source_id")))
+    let_go(found)
     parts = stage(remainders(docs, later, window, gram))
     pieces_found = stage(Anchored(parts, window, gram).occurrences())
+    let_go(parts)
     name = ["tail", "head", "n"]
     single = units(pieces_found, name).withColumns({"k1": F.lit(None).cast("long"), "k2": F.lit(None).cast("long")})
-    paths = stage(compact(stage(whole.unionByName(single))))
+    graph = stage(whole.unionByName(single))
+    let_go(whole)
+    paths = stage(compact(graph))
+    let_go(graph)
     found_in = ["source.doc_id AS source_id", "source.place AS source_start", "path", "offset"]
     placed = later.drop("source_id").join(paths.where("k1 IS NOT NULL").selectExpr("k1", "k2", *found_in), ["k1", "k2"])
     pieces_placed = pieces_found.join(paths.where("k1 IS NULL").selectExpr(*name, *found_in), name)

@@ -2,12 +2,15 @@
 
 import random
 
+import numpy as np
 import plain
 import pytest
 from conftest import DATA
 from test_llm_operators import EXTRA, SCHEMA, awkward_rows, expected, rows
 
 from moodmart.llm import word_graph
+from moodmart.llm.tables import let_go
+from moodmart.session import stage
 from pyspark.sql import functions as F
 
 NAMES = ("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -79,3 +82,30 @@ def test_following_chains_and_circles(spark):
     frame = spark.createDataFrame(links, "chain long, before long, distance long")
     found = {row["chain"]: (row["start"], row["distance"]) for row in word_graph._follow(frame).collect()}
     assert found == {n: (0, n) for n in range(1, 40)} | {n: (100, 2 * (n - 100)) for n in range(101, 107)}
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 8, 32])
+def test_picks_depend_on_their_neighbourhood(length):
+    for seed in range(6):
+        chance = np.random.default_rng(seed)
+        texts = [" ".join(f"w{x}" for x in chance.integers(0, [5, 1000][seed % 2], n)) for n in chance.integers(0, 200, 6)]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        windows = word_graph.Windows(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]), 13, 6)
+        reach, wanted = length // 2, []
+        for at, row in zip(windows.at, windows.row):
+            low, high = windows.words.first[row], windows.words.first[row + 1]
+            near = windows.grams[max(0, at - reach) : at + reach + 1]
+            inside = at - reach >= low and at + reach + 6 <= high
+            wanted.append(inside and bool((np.delete(near, reach) > near[reach]).all()))
+        assert windows.picked(length).tolist() == wanted
+
+
+def test_what_is_let_go_is_deleted_and_nothing_else(spark, tmp_path):
+    frame = stage(spark.range(5))
+    folder = frame.inputFiles()[0].rsplit("/", 1)[0]
+    let_go(frame)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError):
+        let_go(spark.read.parquet(str(tmp_path / "own")))
