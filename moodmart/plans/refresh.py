@@ -6,7 +6,7 @@ that several jobs need is computed once.
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,10 @@ from moodmart import fixed_values as V
 from moodmart import schemas as S
 from moodmart.functions.dates import run_timestamp
 from moodmart.operators.joins import measure
-from moodmart.operators.merge import union_all, unmatched
+from moodmart.operators.merge import union_all, unmatched, upsert
 from moodmart.plans import bronze, gold, silver
 from moodmart.session import stage
-from moodmart.sources.tables import partition_name, read_table, write_table
+from moodmart.sources.tables import last_commit, partition_name, read_table, write_table
 
 LANDED = S.with_column(S.PAGES, "extracted_date", T.DateType())
 _STORED_ARTICLES = S.with_column(S.STORED_ARTICLES, "published_month", T.StringType())
@@ -79,18 +79,42 @@ def _moment(spark: SparkSession, run_ts: Column | None) -> datetime:
     return spark.range(1).select((run_timestamp() if run_ts is None else run_ts).cast("timestamp_ntz")).first()[0]
 
 
-def land(spark: SparkSession, warehouse: Warehouse, raw: DataFrame, run_ts: Column | None = None) -> int:
-    """Add fetched rows ``teamName, page, html`` to the day's pages; only that day's partition is read and replaced."""
+def read_day(spark: SparkSession, warehouse: Warehouse, day: date) -> DataFrame:
+    """The pages landed on one day; no other day's files are listed."""
+    folder = partition_name(spark, extracted_date=day)
+    return read_table(spark, warehouse.pages, LANDED, partitions=[folder]).where(F.col("extracted_date") == F.lit(day))
+
+
+def land(
+    spark: SparkSession, warehouse: Warehouse, raw: DataFrame, run_ts: Column | None = None, batch: str | None = None
+) -> int:
+    """Add fetched rows ``teamName, page, html`` to the day's pages; returns how many the day has then.
+
+    Files are added, and of what the day has already only the keys are read. Pages that it has already are replaced, and
+    only then its partition is written again. A ``batch`` that has a name is landed once: the names of a day's batches
+    are kept with the table, and landing one of them again changes nothing.
+    """
     # one moment for all rows and for the partition they go to
     moment = _moment(spark, run_ts)
-    today = read_pages(spark, warehouse).where(F.col("extracted_date") == F.lit(moment.date()))
-    landed = bronze.land_pages(raw, today, F.lit(moment))
-    return write_table(
-        landed.withColumn("extracted_date", F.to_date("_extractedDate")),
-        warehouse.pages,
-        partition_by=["extracted_date"],
-        only_touched_partitions=True,
-    )
+    day = str(moment.date())
+    state = last_commit(spark, warehouse.pages)
+    batches = state.note.get("batches", {}) if state else {}
+    if batch is not None and batch in batches:
+        return read_day(spark, warehouse, moment.date()).count()
+    # Names of earlier days go, so that the manifest does not grow with the history
+    note = {"batches": {name: of for name, of in batches.items() if of >= day} | ({batch: day} if batch else {})}
+    stamped = stage(bronze.stamp_pages(raw, F.lit(moment)))
+    today = read_day(spark, warehouse, moment.date())
+    again = stamped.select("_hashedId").join(today.select("_hashedId"), "_hashedId", "left_semi")
+    target = {"partition_by": ["extracted_date"], "note": note}
+    if again.isEmpty():
+        added = stamped.withColumn("extracted_date", F.to_date("_extractedDate"))
+        write_table(added, warehouse.pages, append=True, **target)
+    else:
+        merged = upsert(today.select(*S.PAGES.fieldNames()), stamped, "_hashedId")
+        merged = merged.withColumn("extracted_date", F.to_date("_extractedDate"))
+        write_table(merged, warehouse.pages, only_touched_partitions=True, **target)
+    return read_day(spark, warehouse, moment.date()).count()
 
 
 def _month(day: Column) -> Column:
@@ -209,7 +233,7 @@ def refresh(
     """
     moment = _moment(spark, run_ts)
     counts = {"pages": land(spark, warehouse, raw, F.lit(moment))}
-    landed = read_pages(spark, warehouse).where(F.col("extracted_date") == F.lit(moment.date()))
+    landed = read_day(spark, warehouse, moment.date())
     counts |= refresh_articles(spark, warehouse, landed, **options)
     counts |= refresh_gold(spark, warehouse, lexicon)
     return counts

@@ -201,25 +201,28 @@ def write_table(
     partition_by: Sequence[str] = (),
     only_touched_partitions: bool = False,
     emptied: Sequence[str] = (),
+    append: bool = False,
     note: dict | None = None,
 ) -> int:
     """Replace a table and return the number of rows written, counted during the write.
 
     With ``only_touched_partitions`` the partitions that get no row are left as they are, but for the ``emptied`` ones,
-    of which nothing stays. A write that fails leaves the table as it was, and the frame may read the table itself.
-    ``note`` is kept with the commit.
+    of which nothing stays. With ``append`` rows are added and none replaced, whatever there is; nothing is read then. A
+    write that fails leaves the table as it was, and the frame may read the table itself. ``note`` is kept with the commit.
     """
     if only_touched_partitions and not partition_by:
         raise ValueError("only a partitioned table can be replaced in part")
     spark, path = frame.sparkSession, path.rstrip("/")
     number = 1 + max(_numbers(spark, path), default=0)
     before = last_commit(spark, path)
-    if before is None and only_touched_partitions:
+    if before is None and (only_touched_partitions or append):
         before = _adopted(spark, path)
     mark, rows, touched = _add_files(frame, path, partition_by)
     old = before.marks if before else {}
     marks = {partition: [mark] for partition in touched}
-    if only_touched_partitions:
+    if append:
+        marks = old | {partition: [*old.get(partition, []), mark] for partition in touched}
+    elif only_touched_partitions:
         marks = {p: m for p, m in old.items() if p not in emptied} | marks
     _commit(spark, path, number, marks, note or {})
     for partition in {*old, *touched, *emptied, *([""] if not partition_by else [])}:

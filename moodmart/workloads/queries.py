@@ -15,7 +15,7 @@ from moodmart.operators.joins import measure
 from moodmart.plans import bronze, gold, refresh, silver
 from moodmart.plans.maintained import MaintainedTrend
 from moodmart.session import ensure_checkpoint_dir, stage
-from moodmart.sources import feed, tables
+from moodmart.sources import feed, ledger, tables
 from moodmart.workloads import inputs as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -497,3 +497,35 @@ def article_changes(spark: SparkSession, folder: str) -> DataFrame:
     result = stage(_two_runs(spark, folder, root).changes())
     tables.drop_table(spark, root)
     return result
+
+
+@_registered
+def landed_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of two days in three batches each, every batch landed twice and the first one's pages fetched again."""
+    root = _own_folder(spark)
+    warehouse = refresh.Warehouse(root)
+    raw = I.raw_pages(spark, folder)
+    columns = ("teamName", "page", "html")
+    for day in (15, 16):
+        for place in range(3):
+            batch = raw.where(F.pmod("page_id", F.lit(3)) == place).select(*columns)
+            for _ in range(2):
+                refresh.land(spark, warehouse, batch, F.lit(f"2025-01-{day} 0{place + 1}:30:00"), f"{day}-{place}")
+    first = raw.where(F.pmod("page_id", F.lit(3)) == 0).select(*columns)
+    refresh.land(spark, warehouse, first, F.lit("2025-01-16 09:30:00"), "16-again")
+    result = stage(refresh.read_pages(spark, warehouse))
+    tables.drop_table(spark, root)
+    return result
+
+
+@_registered
+def run_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every table written by two runs, the second of which is recorded twice."""
+    root = _own_folder(spark)
+    maintained = _two_runs(spark, folder, root)
+    for run, moment in ((1, "2025-01-15 06:30:00"), (2, "2025-01-16 06:30:00"), (2, "2025-01-16 06:30:00")):
+        counts = {row["change"]: row["count"] for row in maintained.changes().where(F.col("run") == run).groupBy("change").count().collect()}
+        ledger.record_run(spark, f"{root}/runs", run, F.lit(moment), counts)
+    result = stage(ledger.read_runs(spark, f"{root}/runs").drop("recorded"))
+    tables.drop_table(spark, root)
+    return result
