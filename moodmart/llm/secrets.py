@@ -2,9 +2,10 @@
 
 Base findings are the leftmost, non-overlapping matches of three patterns: assignments of a value to a name such as
 ``token``, access keys and long hexadecimal strings. The method looks at the values: each value found by a base pattern,
-or by the general pattern for long mixed tokens, is hashed, and over the whole corpus the distinct repositories and
-owners of each hash are counted. A value of at most ``live_owners`` owners in at most ``live_repositories`` repositories
-is an owner-specific, live-looking credential; any other is a widely copied example.
+or by the general pattern for long mixed tokens, is hashed, and over the whole corpus the distinct repositories, owners
+and texts of each hash are counted. A value of at most ``live_owners`` owners in at most ``live_repositories``
+repositories and ``live_texts`` different texts is an owner-specific, live-looking credential; any other is a widely
+copied example.
 
 Long tokens that overlap no base finding become findings of kind ``live`` if their value is owner-specific. Base findings
 always stay; n_live counts the added findings, n_copied the base findings with a widely copied value.
@@ -27,10 +28,12 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"[0-9a-f]{24,}+"
 ASSIGN_MIN_CHARS = 6
-# Added by the method: a long token with letters and digits
-LONG_TOKEN = r"[A-Za-z0-9_-]{20,}+"
+# Added by the method: a long token of the characters of an assigned value, with letters and digits; a full stop does not
+# end it
+LONG_TOKEN = r"[A-Za-z0-9+/_-][A-Za-z0-9+/_.=-]{18,}[A-Za-z0-9+/_=-]"
 LIVE_OWNERS = 1
 LIVE_REPOSITORIES = 2
+LIVE_TEXTS = 4
 
 KINDS = ("assign", "access", "hex", "live")
 
@@ -62,26 +65,33 @@ def find_secrets(
     repository: Column,
     live_owners: int = LIVE_OWNERS,
     live_repositories: int = LIVE_REPOSITORIES,
+    live_texts: int = LIVE_TEXTS,
 ) -> tuple[DataFrame, DataFrame]:
     """Scan ``docs`` (doc_id, text); ``owner`` and ``repository`` are columns of it.
 
     Returns a row per document (rid, doc_id), and the findings (rid, kind, start, end, value, owners, repositories,
-    live): those of the base kinds and the added ones.
+    texts, live): those of the base kinds and the added ones.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = F.array_compact(
         F.array(*[_matches(text, pattern, kind, group) for kind, (pattern, group) in enumerate(_PATTERNS)])
     )
     scanned = stage_numbered(
-        docs.select("doc_id", owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), found.alias("found"))
+        docs.select(
+            "doc_id",
+            owner.cast("string").alias("owner"),
+            repository.cast("string").alias("repository"),
+            F.xxhash64(text).alias("text_hash"),
+            found.alias("found"),
+        )
     )
     pieces = (
-        scanned.select("rid", "owner", "repository", F.explode("found").alias("found"))
+        scanned.select("rid", "owner", "repository", "text_hash", F.explode("found").alias("found"))
         .select(
-            "rid", "owner", "repository", "found.kind",
+            "rid", "owner", "repository", "text_hash", "found.kind",
             F.posexplode(F.arrays_zip("found.before", "found.length", "found.value")).alias("place", "piece"),
         )
-        .select("rid", "owner", "repository", "kind", "place", "piece.*")
+        .select("rid", "owner", "repository", "text_hash", "kind", "place", "piece.*")
         .where(F.col("length").isNotNull())
     )
     in_order = Window.partitionBy("rid", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
@@ -98,19 +108,25 @@ def find_secrets(
         .withColumn("behind", F.max(F.when(base, F.col("end"))).over(so_far))
         .withColumn("ahead", F.min(F.when(base, F.col("start"))).over(to_come))
         .where(base | (F.coalesce(F.col("behind") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("ahead") >= F.col("end"), F.lit(True))))
-        .select("rid", "owner", "repository", "kind", "start", "end", "value", F.sha2("value", 256).alias("hash"))
+        .select(
+            "rid", "owner", "repository", "text_hash", "kind", "start", "end", "value", F.sha2("value", 256).alias("hash")
+        )
     )
     uses = candidates.select("hash", "owner", "repository").distinct()
     owners = uses.select("hash", "owner").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
     repositories = uses.groupBy("hash").agg(F.count(F.lit(1)).alias("repositories"))
-    ownership = stage(owners.join(repositories, "hash"))
+    texts = candidates.select("hash", "text_hash").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("texts"))
+    ownership = stage(owners.join(repositories, "hash").join(texts, "hash"))
     findings = (
         dimension_join(candidates, ownership, "hash")
         .withColumn(
-            "live", (F.col("owners") <= live_owners) & (F.col("repositories") <= live_repositories)
+            "live",
+            (F.col("owners") <= live_owners)
+            & (F.col("repositories") <= live_repositories)
+            & (F.col("texts") <= live_texts),
         )
         .where(base | F.col("live"))
-        .select("rid", "kind", "start", "end", "value", "owners", "repositories", "live")
+        .select("rid", "kind", "start", "end", "value", "owners", "repositories", "texts", "live")
     )
     return scanned.select("rid", "doc_id"), findings
 
