@@ -23,7 +23,8 @@ from moodmart.llm import (
 )
 from moodmart.llm.tables import read
 from moodmart.llm.token_counts import Rollup
-from moodmart.session import ensure_checkpoint_dir
+from moodmart.operators.joins import dimension_join
+from moodmart.session import ensure_checkpoint_dir, stage
 
 # Vocabulary files of public tokenizers; the driver reads them
 TOKENIZERS = "/opt/tokenizers"
@@ -70,7 +71,7 @@ def token_counts_query(spark: SparkSession, folder: str) -> DataFrame:
     rollup.commit(2, revised)
     texts = docs.select("doc_id", F.sha2("text", 256).alias("hash"), "lang", "source")
     first = texts.groupBy("hash").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = texts.join(first, "hash").where(F.col("doc_id") > F.col("first_id"))
+    copies = dimension_join(texts, stage(first), "hash").where(F.col("doc_id") > F.col("first_id"))
     deleted = copies.withColumns({"op": F.lit("delete"), "seq": F.lit(0), "text": F.lit(None).cast("string")})
     rollup.commit(3, deleted.select(*columns))
     return rollup.totals()
