@@ -23,6 +23,7 @@ named columns are read; lang, source and doc_id are no inputs of a prediction.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -344,6 +345,9 @@ def _dealt_entropies(docs: DataFrame, models: DealtModels) -> DataFrame:
         for batch in batches:
             for first, texts in text_pieces(batch.column("text")):
                 group, grams, n = _counted(*alphabet.symbols(texts), np.arange(len(texts)))
+                # A pad character that the text itself holds is no symbol to score
+                scored = np.array([gram[-1] != chr(_PAD) for gram in grams], bool)
+                group, grams, n = group[scored], list(compress(grams, scored)), n[scored]
                 keys = [batch.column(part).take(pa.array(first + group)) for part in parts]
                 yield pa.RecordBatch.from_arrays(
                     [*keys, pa.array(grams, pa.string()), pa.array(n, pa.int64())], names=[*parts, "gram", "n"]

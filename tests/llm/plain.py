@@ -323,3 +323,65 @@ def mixing(items, block_size, fan):
         if last:
             return copies
         blocks, count, level = following, -(-count // fan), level + 1
+
+
+PAD = "\x02"
+
+
+def letters(text):
+    """Lower case, three pads before, every run of other characters one space, and one at the end."""
+    out, after_letter = [], False
+    for character in PAD * 3 + text.lower() + " ":
+        letter = character.isalpha() or character == PAD
+        if letter or after_letter:
+            out.append(character if letter else " ")
+        after_letter = letter
+    return "".join(out)
+
+
+class KneserNey:
+    """One language's interpolated character model of order 4; ``symbols`` is the size of all languages' alphabet."""
+
+    def __init__(self, texts):
+        runs = [letters(text) for text in texts]
+        self.orders = {4: Counter(run[i : i + 4] for run in runs for i in range(len(run) - 3))}
+        for size in (3, 2, 1):
+            self.orders[size] = Counter(gram[1:] for gram in self.orders[size + 1])
+        self.discount, self.total, self.kinds = {}, Counter(), Counter()
+        for size, counts in self.orders.items():
+            kinds = Counter(counts.values())
+            self.discount[size] = kinds[1] / (kinds[1] + 2 * kinds[2]) if kinds[1] and kinds[2] else 0.5
+            for gram, n in counts.items():
+                self.total[size, gram[:-1]] += n
+                self.kinds[size, gram[:-1]] += 1
+
+    def probability(self, gram, symbols):
+        if not gram:
+            return 1 / symbols
+        size, lower = len(gram), self.probability(gram[1:], symbols)
+        total = self.total[size, gram[:-1]]
+        if not total:
+            return lower
+        discount = self.discount[size]
+        own = max(self.orders[size][gram] - discount, 0)
+        return (own + discount * self.kinds[size, gram[:-1]] * lower) / total
+
+    def entropy(self, text, symbols):
+        run = letters(text)
+        logs = [math.log(self.probability(run[i - 3 : i + 1], symbols)) for i in range(3, len(run)) if run[i] != PAD]
+        return -sum(logs) / len(logs)
+
+
+def languages(learned, texts):
+    """Per text its language and least cross-entropy, under models of ``learned`` (lang, text)."""
+    by_lang = defaultdict(list)
+    for lang, text in learned:
+        by_lang[lang].append(text)
+    models = {lang: KneserNey(own) for lang, own in by_lang.items()}
+    symbols = len({gram for model in models.values() for gram in model.orders[1]}) + 1
+    for text in texts:
+        if not any(character.isalpha() for character in text or ""):
+            yield "und", None
+        else:
+            entropy, lang = min((model.entropy(text, symbols), lang) for lang, model in models.items())
+            yield lang, entropy

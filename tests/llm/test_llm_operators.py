@@ -121,6 +121,20 @@ def test_ownership_tells_examples_from_live_values(spark):
     assert {row["owners"] for row in findings.where("kind = 0").collect()} == {3}
 
 
+def test_bare_values_with_signs_are_whole_and_many_texts_are_copies(spark):
+    cloud, parts = "wJalr/XUtnFEMI+K7MDENG/bPxRfiCY3EXAMPLEK", "eyJhbGciOi.eyJzdWIiOi123.SflKxwRJSMeK="
+    made = [(1, f"use {cloud} here.", "a"), (2, f"send {parts}.", "b"), (3, "see example.com/a. And so on", "c")]
+    made += [(10 + n, f"note {n}: Qw12Er34Ty56Ui78Op90As", "d") for n in range(5)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, owner string")
+    documents, findings = secrets.find_secrets(docs, F.col("owner"), F.col("owner"))
+    found = {row["doc_id"]: row["spans"] for row in secrets.digest(documents, findings).collect()}
+    assert found[1] == f"live:4:{4 + len(cloud)}" and found[2] == f"live:5:{5 + len(parts)}" and found[3] == ""
+    # One owner and repository, but more texts than a value of its own has
+    assert all(found[10 + n] == "" for n in range(5))
+    documents, findings = secrets.find_secrets(docs, F.col("owner"), F.col("owner"), live_texts=5)
+    assert findings.where("value LIKE 'Qw12%'").count() == 5
+
+
 @pytest.mark.parametrize("table", ["given", "awkward"])
 def test_repeats(table, request):
     docs, texts = request.getfixturevalue(table)
@@ -248,6 +262,21 @@ def test_language_of_held_out_documents(spark):
     assert sum(row["rejected"] for row in found) <= 0.01 * len(found)
 
 
+@pytest.mark.parametrize("gathered_cells", [0, language_id.GATHERED_CELLS])
+def test_language_against_a_plain_model(spark, gathered_cells):
+    """Cross-entropies of all orders, for documents learned from and not, some with letters that no language has."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where(F.length("text") < 1500).select("doc_id", "text", "lang")
+    strange = [(-1, "ж漢 qqq \x02 zzz", "en"), (-2, "12 34", "en"), (-3, None, "fr"), (-4, "Ünïcödé ÀÉ", None), (-6, "e", "de")]
+    docs = docs.unionByName(spark.createDataFrame(strange, "doc_id long, text string, lang string"))
+    found = {row["doc_id"]: row for row in language_id.identify(docs, gathered_cells).collect()}
+    given = docs.collect()
+    learned = [(row["lang"], row["text"]) for row in given if not found[row["doc_id"]]["held_out"] and row["lang"] and row["text"] is not None]
+    for row, (lang, entropy) in zip(given, plain.languages(learned, [row["text"] for row in given])):
+        own = found[row["doc_id"]]
+        assert own["lang_pred"] == lang
+        assert own["entropy"] is None if entropy is None else own["entropy"] == pytest.approx(entropy, abs=2e-6)
+
+
 def test_language_of_awkward_rows(awkward):
     docs, texts = awkward
     found = language_id.identify(docs).collect()
