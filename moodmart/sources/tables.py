@@ -248,16 +248,18 @@ def _adopted(spark: SparkSession, path: str) -> Commit | None:
 def _add_files(frame: DataFrame, path: str, partition_by: Sequence[str]) -> tuple[str, int, list[str]]:
     """Write the rows under a mark of their own; the mark, the number of rows and the partitions that got some."""
     spark, mark, counted = frame.sparkSession, f"w{uuid4().hex}", Observation()
-    # Partitions are days or months, named by the tasks that write them
-    values = F.to_json(F.struct(*[F.col(name).cast("string").alias(name) for name in partition_by] or [F.lit("")]))
-    parts = F.to_json(F.collect_set(values))
-    rows = frame.observe(counted, F.count(F.lit(1)).alias("num_records"), parts.alias("partitions"))
+    seen = [F.count(F.lit(1)).alias("num_records")]
+    if partition_by:
+        # Partitions are days, months or runs, gathered while they are written
+        values = F.struct(*[F.col(name).cast("string").alias(name) for name in partition_by])
+        seen.append(F.to_json(F.collect_set(values)).alias("partitions"))
+    rows = frame.observe(counted, *seen)
     writer = rows.write.mode("append").option("mapreduce.output.basename", mark)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     found = counted.get
     if not partition_by:
         return mark, found["num_records"], [""] if found["num_records"] else []
-    listed = map(json.loads, json.loads(found["partitions"]))
+    listed = json.loads(found["partitions"])
     names = [partition_name(spark, **{name: part.get(name) for name in partition_by}) for part in listed]
     return mark, found["num_records"], names
 
