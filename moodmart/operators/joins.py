@@ -29,10 +29,9 @@ class Size:
 
 def measure(frame: DataFrame) -> Size:
     """Rows and approximate bytes of a frame, in one distributed aggregation that returns one row."""
-    fixed = sum(8 for f in frame.schema if not isinstance(f.dataType, T.StringType)) + 16
-    texts = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 for f in frame.schema if isinstance(f.dataType, T.StringType)
-    ]
+    varying = (T.StringType, T.BinaryType)
+    fixed = sum(8 for f in frame.schema if not isinstance(f.dataType, varying)) + 16
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 for f in frame.schema if isinstance(f.dataType, varying)]
     width = sum(texts, F.lit(fixed)).cast("long")
     row = frame.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
     return Size(row["rows"], row["bytes"])

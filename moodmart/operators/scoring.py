@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from moodmart.functions.labels import polarity_class, subjectivity_class
 from moodmart import fixed_values as V
-from moodmart.operators.joins import ROWS_PER_TASK, Size, dimension_join, measure
+from moodmart.operators.joins import ROWS_PER_TASK, Size, dimension_join, fits_broadcast, measure, salted_join
 from moodmart.session import stage
 
 # Largest lexicon that is put into the tasks as a lookup table; larger ones are joined
@@ -94,25 +94,25 @@ def _score_by_lookup(rows: DataFrame, text: str, lexicon: DataFrame, size: int)
 
 
 def _score_by_join(rows: DataFrame, text: str, lexicon: DataFrame, rows_per_task: int) -> DataFrame:
-    """For a lexicon too large to copy: count words per text, join the counts with the lexicon, sum per text.
+    """For a lexicon too large to look words up in: join the words of the texts with it, sum the weights per text.
 
-    Texts are told apart by hash, so no row key is needed. Copies of a text add to the same counts, which leaves the
-    mean as it is. Words and weights move, and the scores of the different texts; the texts themselves stay where they
-    are unless those scores are measured to be too many to broadcast. Beyond that both joins are salted: common words
-    and copied texts are hot keys.
+    Texts are told apart by hash, so no row key is needed. Copies of a text add to the same sums, which leaves the mean as
+    it is. Words meet a lexicon that is measured to fit where they are, and only sums per text move. Otherwise word counts
+    per text and the lexicon are shuffled. The scores of the different texts then go to the texts, which stay where they
+    are unless those scores are measured to be too many to broadcast. Joins that shuffle are salted: common words and
+    copied texts are hot keys.
     """
-    hashed = rows.withColumn("_text", F.sha2(F.col(text), 256))
-    # written, because the join reads it twice: to find the hot words, and to join
-    counts = stage(
-        hashed.select("_text", F.explode(words(F.col(text))).alias("word"))
-        .where(F.length("word") > 0)
-        .groupBy("_text", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    hashed = rows.withColumn("_text", F.unhex(F.sha2(F.col(text), 256)))
+    found = hashed.select("_text", F.explode(words(F.col(text))).alias("word")).where(F.length("word") > 0)
+    known = stage(_unique(lexicon))
+    if fits_broadcast(known):
+        hits = found.join(F.broadcast(known), "word").withColumn("n", F.lit(1))
+    else:
+        # written, because the join reads it twice: to find the hot words, and to join
+        counts = stage(found.groupBy("_text", "word").agg(F.count(F.lit(1)).alias("n")))
+        hits = salted_join(counts, known, "word", "inner", rows_per_task)
     sums = stage(
-        dimension_join(counts, stage(_unique(lexicon)), "word", rows_per_task=rows_per_task)
-        .groupBy("_text")
-        .agg(
+        hits.groupBy("_text").agg(
             F.sum(F.col("p") * F.col("n")).alias("_p"),
             F.sum(F.col("s") * F.col("n")).alias("_s"),
             F.sum("n").alias("_n"),

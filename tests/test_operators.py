@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moodmart.operators import joins, merge, scoring
 from moodmart.operators.numbering import number_sorted
 from moodmart.plans import bronze, gold
+from moodmart.session import stage
 from moodmart.workloads import inputs
 
 DAY = dt.date
@@ -222,6 +223,30 @@ def test_the_texts_stay_where_they_are_under_a_large_lexicon(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_a_lexicon_that_fits_moves_sums_and_no_words(spark, monkeypatch):
+    lexicon = spark.createDataFrame([("good", 70, 60), ("bad", -65, 40)], scoring_schema())
+    texts = spark.createDataFrame([(n, f"good {n} " + " ".join(f"w{k}" for k in "abcdefghij")) for n in range(20)], "n long, text string")
+    stored = []
+    monkeypatch.setattr(scoring, "stage", lambda frame: stored.append(stage(frame)) or stored[-1])
+    assert {row["sentiment_score"] for row in scoring.score_texts(texts, "text", lexicon, max_rows=0).collect()} == {0.7}
+    assert sorted(frame.count() for frame in stored) == [2, 20]
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 5, 1000])
+def test_scores_when_the_lexicon_is_shuffled(spark, monkeypatch, rows_per_task):
+    lexicon = spark.createDataFrame([(w, p, s) for w, (p, s) in WEIGHTS.items()], scoring_schema())
+    texts = spark.createDataFrame([(place, text) for place, text in enumerate(TEXTS * 2)], "id int, text string")
+    monkeypatch.setattr(scoring, "fits_broadcast", lambda frame: False)
+    scored = scoring.score_texts(texts, "text", lexicon, max_rows=0, rows_per_task=rows_per_task)
+    found = {row["id"]: (row["sentiment_score"], row["subjectivity_score"]) for row in scored.collect()}
+    assert found == {place: plain_score(text, WEIGHTS) for place, text in enumerate(TEXTS * 2)}
+
+
+def test_measured_bytes_include_binary_values(spark):
+    frame = spark.createDataFrame([(bytearray(1000), "x")], "b binary, t string")
+    assert joins.measure(frame) == joins.Size(1, 1000 + 1 + 3 * 16)
+
+
 def test_a_word_listed_twice_is_an_error(spark):
     lexicon = spark.createDataFrame([("good", 1, 1), ("good", 2, 2)], scoring_schema())
     texts = spark.createDataFrame([("good",)], "text string")
