@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from moodmart.llm.token_counts import Rollup, bpe_counts, pattern_counts
+from moodmart.llm.token_counts import Rollup, bpe_counts, kind_counts, pattern_counts
 
 SCHEMA = "op string, seq int, doc_id long, text string, lang string, source string"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -95,3 +95,17 @@ def test_byte_pair_counts(spark):
     found = {row["doc_id"]: row["counts"] for row in bpe_counts(docs, VOCABULARY, "byte-bpe-50k").collect()}
     assert found == {n: {"byte-bpe-50k": len(encoding.encode_ordinary(text or ""))} for n, text in enumerate(texts)}
     assert set(pattern_counts(docs).first()["counts"]) == {"words-1", "pieces-1"}
+
+
+def test_kinds_of_bytes_count_as_the_patterns_do(spark):
+    texts = [None, "", " ", "a", "a", "", "b\x1c\x85c", "été 漢字!! 😀a1--b", "\t\n\x0b\x0c\r x\x00y", "".join(map(chr, range(1, 400))), "é", "é", "é a"]
+    texts += ["word, " * 100_000, "x" * 1_500_000, None, "end."]
+    docs = spark.createDataFrame([(n, text) for n, text in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    frames = [kind_counts(docs), pattern_counts(docs)]
+    by_kind, by_pattern = ({row["doc_id"]: row["counts"] for row in frame.collect()} for frame in frames)
+    assert by_kind == by_pattern and frames[0].dtypes == frames[1].dtypes
+
+
+def test_the_rollup_counts_by_kinds(spark, tmp_path):
+    """Patterns took most of its time."""
+    assert Rollup(spark, str(tmp_path)).count is kind_counts
