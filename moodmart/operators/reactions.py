@@ -7,10 +7,13 @@ from moodmart import fixed_values as V
 from moodmart.functions.text import SPACE, fan_key, professional_key, trim_spaces
 from moodmart.operators.filters import is_fan, is_professional
 
-# Letters, digits and underscore in any script
-_WORD = r"[\p{L}\p{N}_]"
-# "name: comment", where the comment runs to the next "word:" or to the end
-_COMMENT = rf"(?sU){_WORD}+:{SPACE}+(.+?)(?={_WORD}++:|\z)"
+# Letters, digits and underscore in any script; the ranges tell most characters without their Unicode category
+_IN_WORD = r"a-zA-Z\p{L}\p{N}_"
+_WORD, _OTHER = f"[{_IN_WORD}]", f"[^{_IN_WORD}]"
+# "name: comment", where the comment runs to the next "word:" or to the end. Words and what is between them are passed
+# whole and never given back, and a name is looked for only at the start of a word or where the last comment ended: a
+# name that does not fit there does not fit further on in its word. So a text is passed once, however long its words are.
+_COMMENT = rf"(?sU)(?:\G|(?<!{_WORD})){_WORD}++:{SPACE}+(.(?:{_WORD}++(?!:)|{_OTHER}++)*+)"
 
 
 def comments(content: Column) -> Column:

@@ -20,7 +20,8 @@ _FEWEST_BUCKETS, _MOST_BUCKETS = 1 << 6, 1 << 17
 
 def words(text: Column) -> Column:
     """Lower-case runs of letters; the ends may be empty, which no lexicon word is."""
-    return F.split(F.lower(text), r"[^\p{L}]+")
+    # a-z are letters too; named first, most characters are told by a range and not by their Unicode category
+    return F.split(F.lower(text), r"[^a-z\p{L}]+")
 
 
 def _bucket(word: Column, buckets: int) -> Column:

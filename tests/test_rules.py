@@ -280,6 +280,17 @@ def test_comments_equal_the_plain_regular_expression(spark, content):
     assert one(spark, reactions.comments(F.lit(content))) == plain
 
 
+def test_comments_pass_a_long_word_once(spark):
+    """400,000 letters without a break; looking ahead to the word's end from each of them took minutes."""
+    import time
+
+    rows = spark.createDataFrame([(f"{MARKER} Ann: {'é' * 400_000} Bo: two {'a' * 400_000}",)], "content string")
+    begin = time.monotonic()
+    found = rows.select(F.transform(reactions.comments(F.col("content")), lambda text: F.length(text))).first()[0]
+    assert found == [400_000, 400_004]
+    assert time.monotonic() - begin < 30
+
+
 def test_comments_are_numbered(spark):
     rows = spark.createDataFrame([("k", f"{MARKER} A: one B: two"), ("m", "none")], "id string, content string")
     assert sorted(values(reactions.explode_comments(rows))) == [("k", 1, "one"), ("k", 2, "two")]
